@@ -36,10 +36,15 @@ def page_readings(
     page_size: int = PAGE_SIZE,
     min_rows: int = MIN_PAGE_ROWS,
     max_parts: int = MAX_PARTS,
+    unique_keys: bool = True,
 ) -> DataFrame:
-    """Readings of every page of the table that passes the minimum-rows gate."""
+    """Readings of every page of the table that passes the minimum-rows gate.
+
+    A row key occurs once in a wide table. ``unique_keys=False`` is for sources that may
+    repeat one: equal keys then share a tick.
+    """
     keyed = wide.withColumn("ms", key_millis("row_key"))
-    paged = assign_pages(keyed, "ms", page_size, max_parts, unique=True)
+    paged = assign_pages(keyed, "ms", page_size, max_parts, unique=unique_keys)
     return paged_readings(min_batch_gate(paged, min_rows), cells)
 
 
@@ -50,10 +55,15 @@ def backfill_means(
     run_length: int = RUN_LENGTH,
     min_rows: int = MIN_PAGE_ROWS,
     max_parts: int = MAX_PARTS,
+    unique_keys: bool = True,
     divisor: str = "fixed",
     rounding: str = "trunc",
     tail_policy: str = "reference",
 ) -> DataFrame:
-    """Run means of every page: ``part, page_id, chunk_idx, sensor_id, ms, value``."""
-    readings = page_readings(wide, cells, page_size, min_rows, max_parts)
+    """Run means of every page: ``part, page_id, chunk_idx, sensor_id, ms, value``.
+
+    The source is read three times (twice its key column only), so it must not change
+    meanwhile. A frame over files does not: it lists them once.
+    """
+    readings = page_readings(wide, cells, page_size, min_rows, max_parts, unique_keys)
     return chunk_mean(readings, run_length, divisor, rounding, tail_policy)

@@ -24,7 +24,7 @@ from tickfold.sources.wide import key_after, page_ends
 class RunReport:
     batches: int
     rounds: int
-    status: str  # "not enough data", "held", "max batches" or "stopped"
+    status: str  # "not enough data", "held", "no progress", "max batches" or "stopped"
 
 
 def run_incremental(
@@ -52,14 +52,20 @@ def run_incremental(
 
     A page is written once its last row is due at ``as_of_ms`` (``None``: always). Pages
     that are not due stay in the source and end the run. ``stop`` is asked between rounds.
-    A failing job ends the run with its error; restarting continues from the sink.
+    A failing job ends the run with its error; restarting continues from the sink. A round
+    that moves no watermark (none of its rows could be written) would be read again and
+    again, so it ends the run.
     """
     batches = rounds = 0
+    previous: int | None = None
     while batches < max_batches:
         if stop():
             return RunReport(batches, rounds, "stopped")
         df = source() if callable(source) else source
         hwm = sink.high_water_ms(spark)
+        if rounds and hwm == previous:
+            return RunReport(batches, rounds, "no progress")
+        previous = hwm
         n_pages = min(pages_per_round, max_batches - batches)
         found = page_ends(df, hwm, n_pages, page_size, hwm_pad_ms).orderBy("page_id").collect()
         full = [(p["last_key"], p["n_rows"]) for p in found if p["n_rows"] >= min_rows]

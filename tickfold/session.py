@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -26,18 +27,20 @@ def local_session(cores: int | str = "*", app: str = "tickfold", **conf: object)
     return builder.getOrCreate()
 
 
+@functools.cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="tickfold-")
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder that every executor can reach, for written tables and checkpoints.
 
-    The cluster names its folder in ``spark.checkpoint.dir``. Only a local session may
-    go without: driver and executors are then one process, and a temporary folder is
-    set in its place.
+    The cluster names its folder in ``spark.checkpoint.dir``. Only a local session may go
+    without: driver and executors are then one process and share a temporary folder.
     """
     root = spark.conf.get(CHECKPOINT_CONF, None)
     if not root:
-        master = spark.conf.get("spark.master", "")
-        if not master.startswith("local"):
+        if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError(f"set {CHECKPOINT_CONF} to a folder shared by all executors")
-        root = tempfile.mkdtemp(prefix="tickfold-")
-        spark.conf.set(CHECKPOINT_CONF, root)
+        root = _local_root()
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"

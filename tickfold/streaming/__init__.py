@@ -1,7 +1,8 @@
 from tickfold.streaming.count_window import (
+    batch_step,
     count_window_step,
     read_runs,
     start_count_window,
 )
 
-__all__ = ["count_window_step", "read_runs", "start_count_window"]
+__all__ = ["batch_step", "count_window_step", "read_runs", "start_count_window"]

@@ -14,6 +14,8 @@ are sorted.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import BooleanType, IntegerType, LongType, StructField, StructType
@@ -68,17 +70,8 @@ def count_window_step(readings: DataFrame, run_length: int = RUN_LENGTH) -> Data
     )
 
 
-def start_count_window(
-    readings: DataFrame,
-    path: str,
-    run_length: int = RUN_LENGTH,
-    processing_time: str | None = IDLE_POLL,
-    available_now: bool = False,
-) -> StreamingQuery:
-    """Run the count window over the stream ``readings`` (``sensor_id, ms, v``).
-
-    ``path`` is a folder shared by all executors; it keeps the runs and the checkpoint.
-    """
+def batch_step(path: str, run_length: int = RUN_LENGTH) -> Callable[[DataFrame, int], None]:
+    """The work of one micro-batch, for ``foreachBatch``. Writes the folder of the batch."""
 
     def step(batch: DataFrame, batch_id: int) -> None:
         if batch_id > 0:
@@ -92,7 +85,21 @@ def start_count_window(
         runs = count_window_step(batch, run_length)
         runs.write.mode("overwrite").parquet(_folder(path, batch_id))
 
-    writer = readings.writeStream.foreachBatch(step).option(
+    return step
+
+
+def start_count_window(
+    readings: DataFrame,
+    path: str,
+    run_length: int = RUN_LENGTH,
+    processing_time: str | None = IDLE_POLL,
+    available_now: bool = False,
+) -> StreamingQuery:
+    """Run the count window over the stream ``readings`` (``sensor_id, ms, v``).
+
+    ``path`` is a folder shared by all executors; it keeps the runs and the checkpoint.
+    """
+    writer = readings.writeStream.foreachBatch(batch_step(path, run_length)).option(
         "checkpointLocation", f"{path}/checkpoint"
     )
     if available_now:
