@@ -110,14 +110,12 @@ def _sink(means: str = "c") -> str:
 
 
 def _paged(spark: SparkSession, d: str, grain: str = "minute", **options: int) -> DataFrame:
-    """Readings of every page, ids as integers."""
-    readings = page_readings(wide_rows(spark, d, grain), CELLS, **options)
-    return readings.withColumn("sensor_id", F.col("sensor_id").cast("int"))
+    """Readings of every page."""
+    return page_readings(wide_rows(spark, d, grain), CELLS, **options)
 
 
 def _means(spark: SparkSession, d: str, grain: str = "minute", **options: str) -> DataFrame:
-    means = backfill_means(wide_rows(spark, d, grain), CELLS, **options)
-    return means.withColumn("sensor_id", F.col("sensor_id").cast("int"))
+    return backfill_means(wide_rows(spark, d, grain), CELLS, **options)
 
 
 # --- scans, keys and pages ---------------------------------------------------------
@@ -229,7 +227,7 @@ def late_rows(spark: SparkSession, d: str) -> DataFrame:
 
 
 @_query(f"WITH {_r()} SELECT CAST(ms AS VARCHAR) AS row_key,"
-        " CAST(sensor_id AS VARCHAR) AS sensor_id, CAST(v AS VARCHAR) AS value FROM r")
+        " sensor_id, CAST(v AS VARCHAR) AS value FROM r")
 def unpivot_cells(spark: SparkSession, d: str) -> DataFrame:
     """One reading per present cell of the declared columns."""
     return op.unpivot_static(wide_rows(spark, d), CELLS)
@@ -281,7 +279,7 @@ def decode_cells(spark: SparkSession, d: str) -> DataFrame:
     stored = wide.select(*[F.encode(c, "UTF-8").alias(c) for c in wide.columns])
     text = stored.select(*[fn.decode_utf8(c).alias(c) for c in wide.columns])
     readings = op.typed_readings(op.unpivot_static(text, CELLS))
-    return readings.select("ms", fn.strict_int("sensor_id").alias("sensor_id"), "v")
+    return readings.select("ms", "sensor_id", "v")
 
 
 _TEXT = """x AS (SELECT event_id, CAST(epoch_us(ts) // 1000 AS VARCHAR) AS row_key,

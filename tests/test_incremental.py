@@ -17,7 +17,7 @@ def sink(spark, tmp_path):
 @pytest.mark.parametrize("seed,n,fill", CASES)
 def test_one_pass_equals_the_loop(spark, seed, n, fill):
     rows = random_rows(seed, n, fill)
-    got = as_means(backfill_means(wide_frame(spark, rows), CELLS, max_parts=1 + seed % 3))
+    got = as_means(backfill_means(wide_frame(spark, rows), CELLS, max_parts=1 + seed % 3, ticks_per_part=1))
     assert got == loop(rows)
 
 

@@ -1,7 +1,8 @@
 import random
 
 import pytest
-from tickfold.operators import assign_pages, known_pages, page_bounds_table
+from tickfold.operators import assign_pages, known_pages
+from tickfold.operators.pages import hour_table, part_table, slot_table
 from tickfold.schema import MAX_KEY_MS
 
 T0 = 1_700_000_000_000
@@ -37,18 +38,32 @@ def _keys(kind, rng):
 def test_pages_equal_the_sorted_list(spark, kind, max_parts):
     keys = _keys(kind, random.Random(7))
     df = spark.createDataFrame([(k,) for k in keys], "ms bigint").repartition(5)
-    paged = assign_pages(df, page_size=10, max_parts=max_parts, unique=True)
-    assert _got(paged) == _expected(keys, 10)
-    assert page_bounds_table(df, page_size=10, max_parts=max_parts).select(
-        "part"
-    ).distinct().count() <= max_parts
+    options = {"page_size": 10, "max_parts": max_parts, "ticks_per_part": 1, "unique": True}
+    assert _got(assign_pages(df, **options)) == _expected(keys, 10)
+    ticks, hours = hour_table(df, **options)
+    assert part_table(ticks, hours).count() <= max_parts
+
+
+def test_slots_of_a_burst_have_few_candidates(spark):
+    burst = spark.range(T0, T0 + 200_000).selectExpr("id AS ms")
+    sparse = spark.range(1, 2001).selectExpr(f"{T0} - id * 7200000 AS ms")
+    df = burst.union(sparse)
+    ticks, hours = hour_table(df, ticks_per_part=100, unique=True)
+    parts = part_table(ticks, hours)
+    slots = slot_table(parts, hours.select("hour", "slot_ms"))
+    n_hours, n_parts = hours.count(), parts.count()
+    assert n_parts == 2020
+    assert slots.count() <= 2 * n_hours + 4 * n_parts
+    assert slots.groupBy("slot").count().selectExpr("max(count)").first()[0] <= 12
+    pages = assign_pages(df, ticks_per_part=100, unique=True).groupBy("page_id").count()
+    assert pages.where("count = 100").count() == 2020
 
 
 def test_readings_of_one_tick_share_its_page(spark):
     rng = random.Random(3)
     keys = [T0 + rng.randint(0, 400) * 60_000 for _ in range(1500)]
     df = spark.createDataFrame([(k,) for k in keys], "ms bigint")
-    assert _got(assign_pages(df, page_size=25, max_parts=4)) == _expected(keys, 25)
+    assert _got(assign_pages(df, page_size=25, max_parts=4, ticks_per_part=1)) == _expected(keys, 25)
 
 
 def test_rows_without_a_key_are_left_out(spark):

@@ -5,6 +5,7 @@ import re
 import pytest
 from model import CELLS, random_rows, wide_frame
 from tickfold import operators as op
+from tickfold.operators.pages import hour_table, part_table
 from tickfold.plans import backfill_means, page_readings
 from tickfold.session import shared_folder
 from tickfold.sources import JdbcTable, page_ends, page_per_split
@@ -53,10 +54,10 @@ def test_regrouping_adds_no_shuffle(wide):
 
 
 def test_page_bounds_read_the_key_only(wide):
-    bounds = op.page_bounds_table(wide.selectExpr("bigint(row_key) AS ms", "*"), unique=True)
-    schemas = set(re.findall(r"ReadSchema: (\S+)", _plan(bounds)))
-    assert schemas == {"struct<row_key:string>"}
-    assert set(re.findall(r"ReadSchema: (\S+)", _plan(page_ends(wide, 5)))) == schemas
+    keyed = wide.selectExpr("bigint(row_key) AS ms", "*")
+    key_only = {"struct<row_key:string>"}
+    for df in [part_table(*hour_table(keyed, unique=True)), page_ends(wide, 5)]:
+        assert set(re.findall(r"ReadSchema: (\S+)", _plan(df))) == key_only
 
 
 def test_unused_cells_are_not_read(wide):

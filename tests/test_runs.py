@@ -1,6 +1,7 @@
 """Small cases with known results."""
 
 import datetime as dt
+import random
 
 import pytest
 from model import CELLS, T0, as_means, wide_frame
@@ -64,6 +65,22 @@ def test_row_cut_leaves_the_last_ticks_for_every_sensor(spark):
     assert (2, T0 + 9000, 1) in _means(spark, rows, tail_policy="row_cut")
 
 
+def test_wide_and_long_runs_are_the_same(spark):
+    rng = random.Random(4)
+    cell = lambda i, c: str(rng.randint(-99, 99)) if c == "sensor1" or rng.random() < 0.4 else None
+    wide = wide_frame(spark, _rows(157, cell)).cache()
+    for policy in ("reference", "row_cut"):
+        long = op.chunk_mean(page_readings(wide, CELLS), tail_policy=policy)
+        assert as_means(long) == as_means(backfill_means(wide, CELLS, tail_policy=policy))
+    wide.unpersist()
+
+
+def test_ids_stay_text_where_they_are_no_plain_numbers(spark):
+    wide = wide_frame(spark, _rows(1)).withColumnRenamed("sensor1", "sensor01")
+    readings = op.unpivot_static(wide, ["sensor01", "sensor2"])
+    assert [(r["sensor_id"], r["value"]) for r in readings.collect()] == [("01", "10")]
+
+
 def test_unknown_options_are_refused(spark):
     for bad in ({"divisor": "x"}, {"rounding": "x"}, {"tail_policy": "x"}):
         with pytest.raises(ValueError):

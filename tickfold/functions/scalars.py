@@ -40,10 +40,8 @@ def parse_int(c: Column | str) -> Column:
 def strict_int(c: Column | str) -> Column:
     """Text to a 32-bit integer; any other text fails the job."""
     text = _col(c)
-    number = parse_int(text)
-    return F.when(text.isNull() | number.isNotNull(), number).otherwise(
-        F.raise_error(F.concat(F.lit("not a 32-bit integer: "), text)).cast("int")
-    )
+    fail = F.raise_error(F.concat(F.lit("not a 32-bit integer: "), text)).cast("int")
+    return F.coalesce(parse_int(text), F.when(text.isNotNull(), fail))
 
 
 def key_millis(row_key: Column | str) -> Column:

@@ -1,5 +1,5 @@
 from tickfold.operators.gates import min_batch_gate, release_gate
-from tickfold.operators.pages import assign_pages, known_pages, page_bounds_table, page_counts
+from tickfold.operators.pages import assign_pages, known_pages, page_counts
 from tickfold.operators.runs import (
     chunk_groups,
     chunk_index,
@@ -8,7 +8,9 @@ from tickfold.operators.runs import (
     max_chunks,
     mean_per_ten,
     page_mean,
+    run_means,
     sensor_arrays,
+    wide_chunk_index,
 )
 from tickfold.operators.shape import mark_readings, mark_sink_rows, sink_shape, split_marked, typed_readings
 from tickfold.operators.unpivot import row_arrays, unpivot_map, unpivot_static
@@ -25,15 +27,16 @@ __all__ = [
     "max_chunks",
     "mean_per_ten",
     "min_batch_gate",
-    "page_bounds_table",
     "page_counts",
     "page_mean",
     "release_gate",
     "row_arrays",
+    "run_means",
     "sensor_arrays",
     "sink_shape",
     "split_marked",
     "typed_readings",
     "unpivot_map",
     "unpivot_static",
+    "wide_chunk_index",
 ]

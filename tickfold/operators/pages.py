@@ -13,6 +13,10 @@ task. Here the ordinal is built from pieces whose size is bounded by constructio
    scanned. Rows are then shuffled once, by part. Parts hold equally many ticks, so no
    hour, sensor or source can make one of them hot.
 
+To find its part a row looks up a slot, a fraction of its hour. An hour with many parts is
+cut into twice as many slots, so a slot has few candidates also where a burst of ticks put
+most parts into one hour.
+
 Everything later (page number, runs, means) is keyed inside a part and needs no further
 shuffle.
 """
@@ -27,67 +31,103 @@ from tickfold.schema import MAX_KEY_MS, PAGE_SIZE
 
 HOUR_MS = 3_600_000
 MAX_PARTS = 131_072
+TICKS_PER_PART = 1_000
 _LAST = 2**63 - 1
 
 
+def _in_domain(ms: str) -> str:
+    return f"least(greatest({ms}, 0), {MAX_KEY_MS})"
+
+
 def hour_of(ms: str) -> str:
     """SQL for the hour bucket of a key. Keys outside the domain join the first or last
     bucket, which keeps the order and the bound on the number of buckets."""
-    return f"least(greatest({ms}, 0), {MAX_KEY_MS}) div {HOUR_MS}"
+    return f"{_in_domain(ms)} div {HOUR_MS}"
+
+
+def _slot_of(ms: str) -> str:
+    """SQL for the start of the slot of a key, given the ``slot_ms`` of its hour."""
+    return f"{_in_domain(ms)} - {_in_domain(ms)} % {HOUR_MS} % slot_ms"
 
 
-def page_bounds_table(
+def hour_table(
     df: DataFrame,
     ms: str = "ms",
     page_size: int = PAGE_SIZE,
     max_parts: int = MAX_PARTS,
+    ticks_per_part: int = TICKS_PER_PART,
     unique: bool = False,
-) -> DataFrame:
-    """Where each part starts and ends: ``hour, part, lo, hi, pages_per_part, n_ticks``.
+) -> tuple[DataFrame, DataFrame]:
+    """The ticks with their hour, and one row per hour that has ticks.
 
-    One row per part and hour it touches: at most ``max_parts`` plus the hours of the key
-    domain, whatever the size of ``df``. Reads the key column only. ``unique=True`` says
-    that ``df`` has one row per tick and saves the distinct.
+    ``before`` counts the ticks of earlier hours and ``span`` the ticks of a part: as many
+    whole pages as reach ``ticks_per_part``, or more if there would be over ``max_parts``
+    parts. ``slot_ms`` is the width of the hour's slots.
     """
     ticks = df.select(F.col(ms).alias("ms")).where("ms IS NOT NULL")
     if not unique:
         ticks = ticks.distinct()
     ticks = ticks.selectExpr("ms", f"{hour_of('ms')} AS hour")
-
+    few = max(1, ticks_per_part // page_size)
+    parts = "(before + count - 1) div span - before div span + 1"
     # At most one row per hour of the key domain reaches the unpartitioned windows.
     hours = (
         ticks.groupBy("hour")
         .count()
         .selectExpr(
             "hour",
+            "count",
             "coalesce(sum(count) OVER (ORDER BY hour"
             " ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before",
             "sum(count) OVER () AS n_ticks",
             "max(hour) OVER () AS last_hour",
         )
-        .selectExpr("*", f"(n_ticks - 1) div {page_size * max_parts} + 1 AS pages_per_part")
+        .selectExpr(
+            "*",
+            f"greatest({few}, (n_ticks - 1) div {page_size * max_parts} + 1) * {page_size} AS span",
+        )
+        .selectExpr("*", f"{parts} AS n_parts")
+        .selectExpr("*", f"if(n_parts = 1, {HOUR_MS}, {HOUR_MS} div (2 * n_parts) + 1) AS slot_ms")
     )
+    return ticks, hours
+
+
+def part_table(ticks: DataFrame, hours: DataFrame) -> DataFrame:
+    """``part, lo, hi, span, n_ticks, last_hour``: first and last key of every part."""
     starts = (
         ticks.selectExpr("*", "row_number() OVER (PARTITION BY hour ORDER BY ms) - 1 AS rank")
         .join(hours, "hour")
-        .where(f"(before + rank) % (pages_per_part * {page_size}) = 0")
+        .where("(before + rank) % span = 0")
     )
     # At most max_parts rows.
-    bounds = starts.selectExpr(
-        f"(before + rank) div (pages_per_part * {page_size}) AS part",
+    return starts.selectExpr(
+        "(before + rank) div span AS part",
         "ms AS lo",
         f"coalesce(lead(ms) OVER (ORDER BY ms) - 1, {_LAST}) AS hi",
-        "pages_per_part",
+        "span",
         "n_ticks",
         "last_hour",
     )
-    return bounds.selectExpr(
+
+
+def slot_table(parts: DataFrame, slots: DataFrame) -> DataFrame:
+    """``slot, part, lo, hi, span, n_ticks``: the parts that each slot can belong to.
+
+    Slots number at most two per hour with ticks and two per part, and a row is added for
+    each part boundary. ``slots`` has ``hour, slot_ms``.
+    """
+    per_hour = parts.selectExpr(
         f"explode(sequence({hour_of('lo')}, least({hour_of('hi')}, last_hour))) AS hour",
         "part",
         "lo",
         "hi",
-        "pages_per_part",
+        "span",
         "n_ticks",
+    ).join(slots, "hour")
+    first = _slot_of(f"greatest(lo, hour * {HOUR_MS})")
+    last = f"least({_in_domain('hi')}, hour * {HOUR_MS} + {HOUR_MS - 1})"
+    return per_hour.selectExpr(
+        f"explode(sequence({first}, {last}, slot_ms)) AS slot", "part", "lo", "hi", "span", "n_ticks"
     )
 
 
@@ -96,25 +136,31 @@ def assign_pages(
     ms: str = "ms",
     page_size: int = PAGE_SIZE,
     max_parts: int = MAX_PARTS,
+    ticks_per_part: int = TICKS_PER_PART,
     unique: bool = False,
 ) -> DataFrame:
     """Add ``part, page_id, n_rows, tick_no`` to every row of ``df``.
 
     ``n_rows`` is the number of ticks in the row's page and ``tick_no`` the position of its
     tick in the page, from 0. Works on wide rows and on readings; on wide rows the shuffle
-    is smaller, so number the pages before unpivoting.
+    is smaller, so number the pages before unpivoting. ``unique=True`` says that ``df`` has
+    one row per tick and saves a distinct.
     """
-    bounds = page_bounds_table(df, ms, page_size, max_parts, unique)
-    tick = "row_number()" if unique else "dense_rank()"
-    # The bounds table is limited by max_parts and the key domain, not by the data.
-    placed = df.selectExpr("*", f"{hour_of(ms)} AS key_hour").join(
-        F.broadcast(bounds), F.expr(f"key_hour = hour AND {ms} BETWEEN lo AND hi")
+    ticks, hours = hour_table(df, ms, page_size, max_parts, ticks_per_part, unique)
+    slots = hours.select("hour", "slot_ms")
+    table = slot_table(part_table(ticks, hours), slots)
+    # Both tables are limited by the hours of the key domain and max_parts, not by the data.
+    placed = (
+        df.selectExpr("*", f"{hour_of(ms)} AS key_hour")
+        .join(F.broadcast(slots), F.expr("key_hour = hour"))
+        .selectExpr(*[f"`{c}`" for c in df.columns], f"{_slot_of(f'`{ms}`')} AS key_slot")
+        .join(F.broadcast(table), F.expr(f"key_slot = slot AND `{ms}` BETWEEN lo AND hi"))
     )
+    tick = "row_number()" if unique else "dense_rank()"
+    ordinal = f"part * span + bigint({tick} OVER (PARTITION BY part ORDER BY `{ms}`)) - 1"
     return (
-        placed.selectExpr(
-            "*", f"bigint({tick} OVER (PARTITION BY part ORDER BY {ms}) - 1) AS tick"
-        )
-        .selectExpr("*", f"part * pages_per_part + tick div {page_size} AS page_id")
+        placed.selectExpr("*", f"{ordinal} AS tick")
+        .selectExpr("*", f"tick div {page_size} AS page_id")
         .selectExpr(
             *[f"`{c}`" for c in df.columns],
             "part",

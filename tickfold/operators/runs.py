@@ -1,21 +1,32 @@
 """Runs of readings per sensor, and their means.
 
 Input is a paged frame of readings: ``part, page_id, n_rows, tick_no, sensor_id, ms, v``.
-Windows and groups name ``part`` first. Rows are already shuffled by it, so none of these
+Windows and groups also name ``part``. Rows are already shuffled by it, so none of these
 operators adds an exchange. A (page, sensor) group has at most one reading per tick of the
 page, so no group grows with the data.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tickfold.functions import int_div
+from tickfold.operators.unpivot import literal_ids
 from tickfold.schema import RUN_LENGTH
 
 PAGE = ["part", "page_id"]
 
 
+def _cut_tail(paged: DataFrame, run_length: int, tail_policy: str) -> DataFrame:
+    if tail_policy == "reference":
+        return paged
+    if tail_policy == "row_cut":
+        return paged.where(f"tick_no < n_rows div {run_length} * {run_length}")
+    raise ValueError(f"unknown tail_policy {tail_policy!r}")
+
+
 def chunk_index(
     paged: DataFrame, run_length: int = RUN_LENGTH, tail_policy: str = "reference"
 ) -> DataFrame:
@@ -26,13 +37,44 @@ def chunk_index(
     last ticks of a page that is not a whole number of runs, so that a sensor with gaps
     cannot move the watermark past readings of the others.
     """
-    if tail_policy not in ("reference", "row_cut"):
-        raise ValueError(f"unknown tail_policy {tail_policy!r}")
-    if tail_policy == "row_cut":
-        paged = paged.where(f"tick_no < n_rows div {run_length} * {run_length}")
-    position = "row_number() OVER (PARTITION BY part, page_id, sensor_id ORDER BY ms, v) - 1"
-    return paged.selectExpr("*", f"({position}) div {run_length} AS chunk_idx").selectExpr(
-        "*", f"chunk_idx < n_rows div {run_length} AS kept"
+    position = "row_number() OVER (PARTITION BY page_id, part, sensor_id ORDER BY ms, v) - 1"
+    return (
+        _cut_tail(paged, run_length, tail_policy)
+        .selectExpr("*", f"({position}) div {run_length} AS chunk_idx")
+        .selectExpr("*", f"chunk_idx < n_rows div {run_length} AS kept")
+    )
+
+
+def wide_chunk_index(
+    paged: DataFrame,
+    cells: Sequence[str],
+    run_length: int = RUN_LENGTH,
+    tail_policy: str = "reference",
+) -> DataFrame:
+    """The kept readings of paged wide rows: ``part, page_id, chunk_idx, sensor_id, ms, value``.
+
+    The same runs as ``chunk_index``, for declared columns and one row per tick. A
+    reading's position is the running count of its column, so the wide rows are sorted
+    by time once and the readings, many more, not at all.
+    """
+    counts = [
+        f"count(`{c}`) OVER (PARTITION BY part, page_id ORDER BY ms"
+        f" ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS position{i}"
+        for i, c in enumerate(cells)
+    ]
+    triples = ", ".join(
+        f"{sensor}, `{c}`, (position{i} - 1) div {run_length}"
+        for i, (sensor, c) in enumerate(zip(literal_ids(cells), cells))
+    )
+    return (
+        _cut_tail(paged, run_length, tail_policy)
+        .selectExpr("part", "page_id", "n_rows", "ms", *[f"`{c}`" for c in cells], *counts)
+        .selectExpr(
+            "part", "page_id", "n_rows", "ms",
+            f"stack({len(cells)}, {triples}) AS (sensor_id, value, chunk_idx)",
+        )
+        .where(f"value IS NOT NULL AND chunk_idx < n_rows div {run_length}")
+        .drop("n_rows")
     )
 
 
@@ -58,9 +100,16 @@ def chunk_mean(
     to an integer. ``divisor="count"`` divides by the readings present;
     ``rounding="exact"`` gives a double.
     """
+    runs = chunk_index(paged, run_length, tail_policy).where("kept")
+    return run_means(runs, run_length, divisor, rounding)
+
+
+def run_means(
+    runs: DataFrame, run_length: int = RUN_LENGTH, divisor: str = "fixed", rounding: str = "trunc"
+) -> DataFrame:
+    """The means of ``chunk_mean`` from readings that know their run."""
     if divisor not in ("fixed", "count"):
         raise ValueError(f"unknown divisor {divisor!r}")
-    runs = chunk_index(paged, run_length, tail_policy).where("kept")
     by = F.lit(run_length) if divisor == "fixed" else F.count("v")
     return runs.groupBy(*PAGE, "chunk_idx", "sensor_id").agg(
         F.max("ms").alias("ms"), _mean(by, rounding)

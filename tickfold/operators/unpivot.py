@@ -10,6 +10,13 @@ from tickfold.functions import sensor_id_of
 from tickfold.schema import QUALIFIER_WORD
 
 
+def literal_ids(cells: Sequence[str]) -> list[str]:
+    """SQL literals of the sensor ids: integers if all are plain numbers, else text."""
+    ids = [c.replace(QUALIFIER_WORD, "") for c in cells]
+    plain = all(i.isdecimal() and i == str(int(i)) and int(i) < 2**31 for i in ids)
+    return ids if plain else [f"'{i}'" for i in ids]
+
+
 def unpivot_static(
     df: DataFrame, cells: Sequence[str], ids: Sequence[str] = ("row_key",)
 ) -> DataFrame:
@@ -18,7 +25,7 @@ def unpivot_static(
     The sensor ids are known when the plan is built, so they enter it as literals and
     no text is replaced per cell.
     """
-    pairs = ", ".join(f"'{c.replace(QUALIFIER_WORD, '')}', `{c}`" for c in cells)
+    pairs = ", ".join(f"{i}, `{c}`" for i, c in zip(literal_ids(cells), cells))
     stacked = f"stack({len(cells)}, {pairs}) AS (sensor_id, value)"
     return df.selectExpr(*ids, stacked).where("value IS NOT NULL")
 
@@ -39,14 +46,8 @@ def row_arrays(df: DataFrame, cells: Sequence[str], row_key: str = "row_key") ->
     The cells of a row are already together, so this is a projection and the array is
     never larger than the row it came from.
     """
-    entries = F.array(
-        *[
-            F.struct(
-                F.lit(c.replace(QUALIFIER_WORD, "")).alias("sensor_id"),
-                F.col(c).alias("value"),
-            )
-            for c in cells
-        ]
+    pairs = ", ".join(
+        f"struct({i} AS sensor_id, `{c}` AS value)" for i, c in zip(literal_ids(cells), cells)
     )
-    present = F.filter(entries, lambda e: e["value"].isNotNull())
+    present = F.filter(F.expr(f"array({pairs})"), lambda e: e["value"].isNotNull())
     return df.select(row_key, F.array_sort(present).alias("readings"))

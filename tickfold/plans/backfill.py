@@ -11,41 +11,65 @@ from tickfold.operators import (
     assign_pages,
     chunk_mean,
     min_batch_gate,
+    run_means,
     typed_readings,
     unpivot_map,
     unpivot_static,
+    wide_chunk_index,
 )
-from tickfold.operators.pages import MAX_PARTS
+from tickfold.operators.pages import MAX_PARTS, TICKS_PER_PART
 from tickfold.schema import MIN_PAGE_ROWS, PAGE_SIZE, RUN_LENGTH
 
 PAGE_COLUMNS = ["part", "page_id", "n_rows", "tick_no", "ms"]
 
 
-def paged_readings(paged: DataFrame, cells: Sequence[str] | str) -> DataFrame:
-    """Unpivot wide rows that carry page columns. ``cells``: column names, or a map column."""
+def _unpivot(paged: DataFrame, cells: Sequence[str] | str) -> DataFrame:
     if isinstance(cells, str):
-        readings = unpivot_map(paged, cells, PAGE_COLUMNS)
-    else:
-        readings = unpivot_static(paged, cells, PAGE_COLUMNS)
-    return typed_readings(readings)
+        return typed_readings(unpivot_map(paged, cells, PAGE_COLUMNS))
+    return typed_readings(unpivot_static(paged, cells, PAGE_COLUMNS))
 
 
-def page_readings(
+def paged_rows(
     wide: DataFrame,
-    cells: Sequence[str] | str,
     page_size: int = PAGE_SIZE,
     min_rows: int = MIN_PAGE_ROWS,
     max_parts: int = MAX_PARTS,
+    ticks_per_part: int = TICKS_PER_PART,
     unique_keys: bool = True,
 ) -> DataFrame:
-    """Readings of every page of the table that passes the minimum-rows gate.
+    """The rows of every page of the table that passes the minimum-rows gate.
 
     A row key occurs once in a wide table. ``unique_keys=False`` is for sources that may
     repeat one: equal keys then share a tick.
     """
     keyed = wide.withColumn("ms", key_millis("row_key"))
-    paged = assign_pages(keyed, "ms", page_size, max_parts, unique=unique_keys)
-    return paged_readings(min_batch_gate(paged, min_rows), cells)
+    paged = assign_pages(keyed, "ms", page_size, max_parts, ticks_per_part, unique_keys)
+    return min_batch_gate(paged, min_rows)
+
+
+def page_readings(
+    wide: DataFrame, cells: Sequence[str] | str, **pages: int | bool
+) -> DataFrame:
+    """Readings of every page. ``cells``: column names, or a map column; ``pages``: see
+    ``paged_rows``."""
+    return _unpivot(paged_rows(wide, **pages), cells)
+
+
+def means_of_pages(
+    paged: DataFrame,
+    cells: Sequence[str] | str,
+    run_length: int = RUN_LENGTH,
+    divisor: str = "fixed",
+    rounding: str = "trunc",
+    tail_policy: str = "reference",
+    unique_keys: bool = True,
+) -> DataFrame:
+    """Run means of wide rows that carry page columns."""
+    if isinstance(cells, str) or not unique_keys:
+        readings = _unpivot(paged, cells)
+        return chunk_mean(readings, run_length, divisor, rounding, tail_policy)
+    runs = wide_chunk_index(paged, cells, run_length, tail_policy)
+    return run_means(typed_readings(runs), run_length, divisor, rounding)
 
 
 def backfill_means(
@@ -55,6 +79,7 @@ def backfill_means(
     run_length: int = RUN_LENGTH,
     min_rows: int = MIN_PAGE_ROWS,
     max_parts: int = MAX_PARTS,
+    ticks_per_part: int = TICKS_PER_PART,
     unique_keys: bool = True,
     divisor: str = "fixed",
     rounding: str = "trunc",
@@ -65,5 +90,5 @@ def backfill_means(
     The source is read three times (twice its key column only), so it must not change
     meanwhile. A frame over files does not: it lists them once.
     """
-    readings = page_readings(wide, cells, page_size, min_rows, max_parts, unique_keys)
-    return chunk_mean(readings, run_length, divisor, rounding, tail_policy)
+    paged = paged_rows(wide, page_size, min_rows, max_parts, ticks_per_part, unique_keys)
+    return means_of_pages(paged, cells, run_length, divisor, rounding, tail_policy, unique_keys)

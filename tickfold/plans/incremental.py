@@ -12,8 +12,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tickfold.functions import key_millis
-from tickfold.operators import chunk_mean, known_pages, sink_shape
-from tickfold.plans.backfill import paged_readings
+from tickfold.operators import known_pages, sink_shape
+from tickfold.plans.backfill import means_of_pages
 from tickfold.schema import HWM_PAD_MS, MAX_BATCHES, MIN_PAGE_ROWS, PAGE_SIZE, RUN_LENGTH
 from tickfold.sources.relational import JdbcTable
 from tickfold.sources.tables import FileTable, append_new
@@ -77,8 +77,7 @@ def run_incremental(
 
         rows = key_after(df, hwm, hwm_pad_ms).where(F.col("row_key") <= due[-1][0])
         paged = known_pages(rows.withColumn("ms", key_millis("row_key")), due)
-        means = chunk_mean(paged_readings(paged, cells), run_length, **mean_options)
-        batch = sink_shape(means)
+        batch = sink_shape(means_of_pages(paged, cells, run_length, **mean_options))
         if skip_existing:
             batch = append_new(batch, sink.read(spark))
         if isinstance(sink, JdbcTable):
