@@ -22,6 +22,7 @@ from tickfold.sources.events import (  # noqa: E402
     text_readings,
     wide_map_rows,
     wide_rows,
+    wide_text_rows,
 )
 from tickfold.streaming import read_runs, start_count_window  # noqa: E402
 
@@ -403,6 +404,23 @@ def chunk_groups(spark: SparkSession, d: str) -> DataFrame:
     return groups.select("page_id", "chunk_idx", _joined("sensors", "sensor_id", "value", "ms"))
 
 
+@_query(f"""WITH {_TEXT},
+ z AS (SELECT CAST(row_key AS BIGINT) // 60000 * 60000 AS ms, sensor_id, max(value) AS value
+  FROM x GROUP BY 1, 2),
+ o AS (SELECT ms, (row_number() OVER (ORDER BY ms) - 1) // 100 AS b FROM (SELECT DISTINCT ms FROM z)),
+ n AS (SELECT b, count(*) AS n_rows FROM o GROUP BY b),
+ g AS (SELECT z.ms, b, n_rows, sensor_id, CAST(value AS INT) AS v,
+  (row_number() OVER (PARTITION BY b, sensor_id ORDER BY z.ms) - 1) // 10 AS i
+  FROM z JOIN o USING (ms) JOIN n USING (b) WHERE regexp_full_match(value, '[+-]?[0-9]+'))
+ SELECT b AS page_id, i AS chunk_idx, sensor_id, max(ms) AS ms,
+  CAST(sum(v) // 10 AS BIGINT) AS value
+ FROM g WHERE n_rows >= 10 AND i < n_rows // 10 GROUP BY 1, 2, 3""")
+def chunk_mean_rejecting(spark: SparkSession, d: str) -> DataFrame:
+    """Run means of rows with bad cells, which are left out."""
+    means = backfill_means(wide_text_rows(spark, d), CELLS, on_error="reject")
+    return means.drop("part")
+
+
 # --- the roll-up, gates and sink ---------------------------------------------------
 
 

@@ -68,10 +68,10 @@ def test_pages_in_the_future_are_held(spark, sink):
     as_of = int(rows[150]["row_key"])
     wide = wide_frame(spark, rows)
     report = run_incremental(
-        spark, wide, sink, CELLS, as_of_ms=as_of, pages_per_round=3, hwm_pad_ms=0
+        spark, wide, sink, CELLS, clock=lambda: as_of / 1000, pages_per_round=3, hwm_pad_ms=0
     )
     assert (report.batches, report.status) == (1, "held")
-    run_incremental(spark, wide, sink, CELLS, as_of_ms=int(rows[-1]["row_key"]), hwm_pad_ms=0)
+    run_incremental(spark, wide, sink, CELLS, hwm_pad_ms=0)
     assert sink_means(sink.read(spark)) == loop(rows)
 
 

@@ -59,6 +59,16 @@ def test_bad_value_fails_the_job(spark):
         _means(spark, rows)
 
 
+def test_bad_cells_may_be_left_out(spark):
+    rows = _rows(11, lambda i, c: ("3.5" if i == 4 else "10") if c == "sensor1" else None)
+    assert _means(spark, rows, on_error="reject") == [(1, T0 + 10000, 10)]
+    maps = spark.createDataFrame(
+        [(r["row_key"], {"sensor1": r["sensor1"]}) for r in rows],
+        "row_key string, cells map<string,string>",
+    )
+    assert as_means(backfill_means(maps, "cells", on_error="reject")) == [(1, T0 + 10000, 10)]
+
+
 def test_row_cut_leaves_the_last_ticks_for_every_sensor(spark):
     rows = _rows(15, lambda i, c: "10" if c == "sensor1" or (c == "sensor2" and i > 8) else None)
     assert (2, T0 + 14000, 6) in _means(spark, rows)
@@ -82,7 +92,7 @@ def test_ids_stay_text_where_they_are_no_plain_numbers(spark):
 
 
 def test_unknown_options_are_refused(spark):
-    for bad in ({"divisor": "x"}, {"rounding": "x"}, {"tail_policy": "x"}):
+    for bad in ({"divisor": "x"}, {"rounding": "x"}, {"on_error": "x"}, {"tail_policy": "x"}):
         with pytest.raises(ValueError):
             backfill_means(wide_frame(spark, _rows(10)), CELLS, **bad)
 

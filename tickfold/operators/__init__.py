@@ -12,7 +12,14 @@ from tickfold.operators.runs import (
     sensor_arrays,
     wide_chunk_index,
 )
-from tickfold.operators.shape import mark_readings, mark_sink_rows, sink_shape, split_marked, typed_readings
+from tickfold.operators.shape import (
+    drop_bad_cells,
+    mark_readings,
+    mark_sink_rows,
+    sink_shape,
+    split_marked,
+    typed_readings,
+)
 from tickfold.operators.unpivot import row_arrays, unpivot_map, unpivot_static
 
 __all__ = [
@@ -21,6 +28,7 @@ __all__ = [
     "chunk_index",
     "chunk_mean",
     "chunk_tail",
+    "drop_bad_cells",
     "known_pages",
     "mark_readings",
     "mark_sink_rows",

@@ -10,6 +10,7 @@ from tickfold.functions import key_millis
 from tickfold.operators import (
     assign_pages,
     chunk_mean,
+    drop_bad_cells,
     min_batch_gate,
     run_means,
     typed_readings,
@@ -63,8 +64,17 @@ def means_of_pages(
     rounding: str = "trunc",
     tail_policy: str = "reference",
     unique_keys: bool = True,
+    on_error: str = "fail",
 ) -> DataFrame:
-    """Run means of wide rows that carry page columns."""
+    """Run means of wide rows that carry page columns.
+
+    A cell that is no integer fails the job, or counts as missing with
+    ``on_error="reject"``.
+    """
+    if on_error not in ("fail", "reject"):
+        raise ValueError(f"unknown on_error {on_error!r}")
+    if on_error == "reject":
+        paged = drop_bad_cells(paged, cells)
     if isinstance(cells, str) or not unique_keys:
         readings = _unpivot(paged, cells)
         return chunk_mean(readings, run_length, divisor, rounding, tail_policy)
@@ -84,6 +94,7 @@ def backfill_means(
     divisor: str = "fixed",
     rounding: str = "trunc",
     tail_policy: str = "reference",
+    on_error: str = "fail",
 ) -> DataFrame:
     """Run means of every page: ``part, page_id, chunk_idx, sensor_id, ms, value``.
 
@@ -91,4 +102,6 @@ def backfill_means(
     meanwhile. A frame over files does not: it lists them once.
     """
     paged = paged_rows(wide, page_size, min_rows, max_parts, ticks_per_part, unique_keys)
-    return means_of_pages(paged, cells, run_length, divisor, rounding, tail_policy, unique_keys)
+    return means_of_pages(
+        paged, cells, run_length, divisor, rounding, tail_policy, unique_keys, on_error
+    )

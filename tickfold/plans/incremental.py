@@ -6,6 +6,7 @@ only), and one append. Only those scalars reach the driver.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -16,7 +17,7 @@ from tickfold.operators import known_pages, sink_shape
 from tickfold.plans.backfill import means_of_pages
 from tickfold.schema import HWM_PAD_MS, MAX_BATCHES, MIN_PAGE_ROWS, PAGE_SIZE, RUN_LENGTH
 from tickfold.sources.relational import JdbcTable
-from tickfold.sources.tables import FileTable, append_new
+from tickfold.sources.tables import FileTable
 from tickfold.sources.wide import key_after, page_ends
 
 
@@ -39,8 +40,7 @@ def run_incremental(
     max_batches: int = MAX_BATCHES,
     pages_per_round: int = 1,
     hwm_pad_ms: int = HWM_PAD_MS,
-    as_of_ms: int | None = None,
-    skip_existing: bool = False,
+    clock: Callable[[], float] = time.time,
     stop: Callable[[], bool] = lambda: False,
     **mean_options: str,
 ) -> RunReport:
@@ -50,8 +50,8 @@ def run_incremental(
     ``pages_per_round`` pages are written by one append. With more than one page in a
     round, the watermark between them is exact instead of padded.
 
-    A page is written once its last row is due at ``as_of_ms`` (``None``: always). Pages
-    that are not due stay in the source and end the run. ``stop`` is asked between rounds.
+    A page is written once ``clock`` (seconds) has reached its last row. Pages that are not
+    due stay in the source and end the run. ``stop`` is asked between rounds.
     A failing job ends the run with its error; restarting continues from the sink. A round
     that moves no watermark (none of its rows could be written) would be read again and
     again, so it ends the run.
@@ -71,15 +71,14 @@ def run_incremental(
         full = [(p["last_key"], p["n_rows"]) for p in found if p["n_rows"] >= min_rows]
         if not full:
             return RunReport(batches, rounds, "not enough data")
-        due = [p for p in full if as_of_ms is None or int(p[0]) <= as_of_ms]
+        now_ms = clock() * 1000
+        due = [page for page in full if int(page[0]) <= now_ms]
         if not due:
             return RunReport(batches, rounds, "held")
 
         rows = key_after(df, hwm, hwm_pad_ms).where(F.col("row_key") <= due[-1][0])
         paged = known_pages(rows.withColumn("ms", key_millis("row_key")), due)
         batch = sink_shape(means_of_pages(paged, cells, run_length, **mean_options))
-        if skip_existing:
-            batch = append_new(batch, sink.read(spark))
         if isinstance(sink, JdbcTable):
             sink.append(batch, partitions=1)
         else:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickfold.functions import millis_of
+from tickfold.functions import key_millis, millis_of, timestamp_of
 
 N_SENSORS = 8
 CELLS = [f"sensor{i}" for i in range(N_SENSORS)]
@@ -81,3 +81,14 @@ def text_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(number)
         .alias("value"),
     )
+
+
+def wide_text_rows(spark: SparkSession, sf_dir: str, grain: str = "minute") -> DataFrame:
+    """``row_key, sensor0 .. sensor7`` from the text readings, so some cells are bad."""
+    tick = F.date_trunc(grain, timestamp_of(key_millis("row_key")))
+    cells = [
+        F.max(F.when(F.col("sensor_id") == i, F.col("value"))).alias(name)
+        for i, name in enumerate(CELLS)
+    ]
+    ticks = text_readings(spark, sf_dir).groupBy(millis_of(tick).alias("ms")).agg(*cells)
+    return ticks.select(F.col("ms").cast("string").alias("row_key"), *CELLS)
