@@ -85,6 +85,20 @@ def test_wide_and_long_runs_are_the_same(spark):
     wide.unpersist()
 
 
+def test_many_columns_give_the_same_means(spark, monkeypatch):
+    rng = random.Random(6)
+    cell = lambda i, c: rng.choice(["7", "-8", "x", None]) if c != "sensor1" else "5"
+    wide = wide_frame(spark, _rows(57, cell)).cache()
+    few = as_means(backfill_means(wide, CELLS, on_error="reject"))
+    monkeypatch.setattr("tickfold.plans.backfill.PACK_ABOVE", 2)
+    packed = backfill_means(wide, CELLS, on_error="reject")
+    assert "posexplode" in packed._jdf.queryExecution().toString()
+    assert as_means(packed) == few
+    with pytest.raises(Exception, match="not a 32-bit integer"):
+        backfill_means(wide, CELLS).collect()
+    wide.unpersist()
+
+
 def test_ids_stay_text_where_they_are_no_plain_numbers(spark):
     wide = wide_frame(spark, _rows(1)).withColumnRenamed("sensor1", "sensor01")
     readings = op.unpivot_static(wide, ["sensor01", "sensor2"])

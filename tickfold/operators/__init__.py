@@ -20,7 +20,13 @@ from tickfold.operators.shape import (
     split_marked,
     typed_readings,
 )
-from tickfold.operators.unpivot import row_arrays, unpivot_map, unpivot_static
+from tickfold.operators.unpivot import (
+    pack_cells,
+    row_arrays,
+    unpivot_map,
+    unpivot_packed,
+    unpivot_static,
+)
 
 __all__ = [
     "assign_pages",
@@ -35,6 +41,7 @@ __all__ = [
     "max_chunks",
     "mean_per_ten",
     "min_batch_gate",
+    "pack_cells",
     "page_counts",
     "page_mean",
     "release_gate",
@@ -45,6 +52,7 @@ __all__ = [
     "split_marked",
     "typed_readings",
     "unpivot_map",
+    "unpivot_packed",
     "unpivot_static",
     "wide_chunk_index",
 ]

@@ -24,14 +24,11 @@ def mark_readings(readings: DataFrame, row_key: str = "row_key") -> DataFrame:
     return readings.withColumns({"ms": ms, "v": v, "reason": reason})
 
 
-def drop_bad_cells(wide: DataFrame, cells: Sequence[str] | str) -> DataFrame:
+def drop_bad_cells(wide: DataFrame, cells: Sequence[str]) -> DataFrame:
     """Wide rows without the cells that are no integers; the rows themselves stay.
 
     ``mark_readings`` on the unpivoted source shows what was dropped.
     """
-    if isinstance(cells, str):
-        good = F.map_filter(cells, lambda _, value: parse_int(value).isNotNull())
-        return wide.withColumn(cells, good)
     return wide.withColumns({c: F.when(parse_int(c).isNotNull(), F.col(c)) for c in cells})
 
 

@@ -30,6 +30,27 @@ def unpivot_static(
     return df.selectExpr(*ids, stacked).where("value IS NOT NULL")
 
 
+def pack_cells(df: DataFrame, cells: Sequence[str], ids: Sequence[str] = ("row_key",)) -> DataFrame:
+    """The declared columns as one array, ``cells``.
+
+    Above about a hundred columns Spark gives up generated code for a stage and copies
+    every column at every step; an array is copied as one block.
+    """
+    return df.select(*ids, F.array(*[F.col(f"`{c}`") for c in cells]).alias("cells"))
+
+
+def unpivot_packed(
+    df: DataFrame, cells: Sequence[str], ids: Sequence[str] = ("row_key",)
+) -> DataFrame:
+    """The result of ``unpivot_static``, from packed rows."""
+    names = f"array({', '.join(literal_ids(cells))})"
+    return (
+        df.selectExpr(*ids, "posexplode(cells) AS (position, value)")
+        .where("value IS NOT NULL")
+        .selectExpr(*ids, f"get({names}, position) AS sensor_id", "value")
+    )
+
+
 def unpivot_map(
     df: DataFrame, cells: str = "cells", ids: Sequence[str] = ("row_key",)
 ) -> DataFrame:

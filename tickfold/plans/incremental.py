@@ -12,9 +12,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickfold.functions import key_millis
 from tickfold.operators import known_pages, sink_shape
-from tickfold.plans.backfill import means_of_pages
+from tickfold.plans.backfill import means_of_pages, source_rows
 from tickfold.schema import HWM_PAD_MS, MAX_BATCHES, MIN_PAGE_ROWS, PAGE_SIZE, RUN_LENGTH
 from tickfold.sources.relational import JdbcTable
 from tickfold.sources.tables import FileTable
@@ -77,7 +76,7 @@ def run_incremental(
             return RunReport(batches, rounds, "held")
 
         rows = key_after(df, hwm, hwm_pad_ms).where(F.col("row_key") <= due[-1][0])
-        paged = known_pages(rows.withColumn("ms", key_millis("row_key")), due)
+        paged = known_pages(source_rows(rows, cells), due)
         batch = sink_shape(means_of_pages(paged, cells, run_length, **mean_options))
         if isinstance(sink, JdbcTable):
             sink.append(batch, partitions=1)
