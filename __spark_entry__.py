@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import functools
+import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -551,9 +552,25 @@ def entry(spark: SparkSession) -> DataFrame:
     return chunk_mean_backfill(spark, "/root/testdata/sf0.001")
 
 
+def _optional() -> tuple[dict[str, Query], dict[str, str]]:
+    """Queries and SQL of the training-data package, where it and its pipeline are there."""
+    if not importlib.util.find_spec("tickfold.llm"):
+        return {}, {}
+    from tickfold.llm import queries as llm
+
+    runs, sql = dict(llm.QUERIES), dict(llm.ORACLES)
+    if importlib.util.find_spec("corpus_pipeline"):
+        import corpus_pipeline
+
+        runs["pipeline"] = corpus_pipeline.run
+        if corpus_pipeline.ORACLE_SQL:
+            sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return runs, sql
+
+
 def queries() -> dict[str, Query]:
-    return dict(_QUERIES)
+    return _QUERIES | _optional()[0]
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_ORACLES)
+    return _ORACLES | _optional()[1]

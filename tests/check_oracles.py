@@ -14,7 +14,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 import __spark_entry__ as entry  # noqa: E402
 from tickfold.session import local_session  # noqa: E402
 
-TABLES = ["events", "supplier"]
+TABLES = ["events", "supplier", "documents", "embeddings"]
 
 
 def tables(sf_dir: str) -> duckdb.DuckDBPyConnection:
@@ -38,7 +38,7 @@ def compare(spark, con: duckdb.DuckDBPyConnection, name: str, sf_dir: str) -> tu
 
 if __name__ == "__main__":
     sf = sys.argv[1] if len(sys.argv) > 1 else "0.01"
-    names = sys.argv[2:] or list(entry.queries())
+    names = sys.argv[2:] or list(entry.oracle_sql())
     folder = f"/root/testdata/sf{sf}"
     session = local_session(8)
     session.sparkContext.setLogLevel("ERROR")

@@ -12,14 +12,15 @@ def con():
     return tables(FOLDER)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(entry._QUERIES))
 def test_query_equals_sql(spark, con, name):
     same, _ = compare(spark, con, name, FOLDER)
     assert same
 
 
 def test_every_query_has_sql():
-    assert entry.queries().keys() == entry.oracle_sql().keys()
+    assert entry._QUERIES.keys() == entry._ORACLES.keys()
+    assert entry._QUERIES.keys() <= entry.queries().keys()
 
 
 def test_entry_is_the_flagship(spark):
