@@ -8,8 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tickfold.llm.best_fit import best_fit
+from tickfold.llm.chosen_path import near_duplicates
 from tickfold.llm.common import table, utf8, words
 from tickfold.llm.histogram_sort import histogram_sort
+from tickfold.llm.prefix_doubling import digest, repeats
 from tickfold.llm.quality_rules import RULES, STOP_WORDS, quality_rules
 from tickfold.llm.raking import form_topic, mix
 from tickfold.llm.secret_scan import secret_spans, span_digest
@@ -31,6 +33,10 @@ def op2_token_files(spark: SparkSession, d: str) -> DataFrame:
     return token_digest(spark, path)
 
 
+def op3_chosen_path(spark: SparkSession, d: str) -> DataFrame:
+    return near_duplicates(table(spark, d, "documents"), width=2, percent=80)
+
+
 def op4_token_counts(spark: SparkSession, d: str) -> DataFrame:
     """Three batches and a repeated one: every document is counted by white space (version 1),
     those whose text has a character outside ASCII are revised to a count of letter runs
@@ -116,6 +122,10 @@ def op9_best_fit(spark: SparkSession, d: str) -> DataFrame:
     return best_fit(docs.select("doc_id", (F.size(words(F.col("text"))) + 1).alias("n_tokens")))
 
 
+def op10_prefix_doubling(spark: SparkSession, d: str) -> DataFrame:
+    return digest(repeats(table(spark, d, "documents")))
+
+
 _W = "regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')"
 
 _OP4 = f"""WITH d AS (SELECT doc_id, source, lang, coalesce(text, '') AS t,
@@ -163,12 +173,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op2_token_files,
+        op3_chosen_path,
         op4_token_counts,
         op5_histogram_sort,
         op6_quality_rules,
         op7_raking,
         op8_secret_scan,
         op9_best_fit,
+        op10_prefix_doubling,
     )
 }
 ORACLES: dict[str, str] = {"op4_token_counts": _OP4, "op6_quality_rules": _OP6}
