@@ -33,7 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tickfold.llm.common import written
+from tickfold.llm.common import groups, written
 from tickfold.llm.components import components
 from tickfold.llm.shingles import mix, parts, shingle_sets
 
@@ -207,23 +207,6 @@ class _Node:
             yield _signed(mix(seed + token * np.uint64(0x9E3779B97F4A7C15))), ids, n, sketch
 
 
-def groups(
-    batches: Iterator[pa.RecordBatch], key: str
-) -> Iterator[tuple[int, pa.RecordBatch, bool]]:
-    """Pieces of rows that share a key, from rows sorted by it: key, piece, and whether it is
-    the first one of that key. Keys that come once in a batch are given with the others."""
-    last = None
-    for batch in batches:
-        keys = batch.column(key).to_numpy(zero_copy_only=False)
-        if not len(keys):
-            continue
-        edges = np.concatenate([[0], np.flatnonzero(keys[1:] != keys[:-1]) + 1, [len(keys)]])
-        for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-            value = int(keys[a])
-            yield value, batch.slice(a, b - a), value != last
-            last = value
-
-
 def _branch(limit: int) -> Callable:
     """Compares or branches nodes; rows come sorted by path."""
 

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tickfold.session import shared_folder
@@ -35,3 +39,20 @@ def ascii_lower(text: Column) -> Column:
 
 def utf8(text: Column) -> Column:
     return F.coalesce(text, F.lit(""))
+
+
+def groups(
+    batches: Iterator[pa.RecordBatch], key: str
+) -> Iterator[tuple[int, pa.RecordBatch, bool]]:
+    """Pieces of rows that share a key, from rows sorted by it: key, piece, and whether it is
+    the first one of that key."""
+    last = None
+    for batch in batches:
+        keys = batch.column(key).to_numpy(zero_copy_only=False)
+        if not len(keys):
+            continue
+        edges = np.concatenate([[0], np.flatnonzero(keys[1:] != keys[:-1]) + 1, [len(keys)]])
+        for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+            value = int(keys[a])
+            yield value, batch.slice(a, b - a), value != last
+            last = value

@@ -133,17 +133,23 @@ def passes(rules: tuple[Rule, ...] = RULES) -> Column:
     return met
 
 
+def _judged(rows: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
+    base = (F.col("n_words") < MIN_WORDS) | (
+        F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEAT_PERCENT
+    )
+    judged = measures(rows).withColumn("base_failed", base)
+    return judged.withColumn("kept", ~F.col("base_failed") & passes(rules))
+
+
 def quality_rules(
     df: DataFrame, rules: tuple[Rule, ...] = RULES, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """doc_id, the measures, base_failed and kept."""
     rows = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    base = (F.col("n_words") < MIN_WORDS) | (
-        F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEAT_PERCENT
-    )
-    return (
-        measures(rows)
-        .withColumn("base_failed", base)
-        .withColumn("kept", ~F.col("base_failed") & passes(rules))
-        .drop("text", "one")
-    )
+    return _judged(rows, rules).drop("text", "one")
+
+
+def passing(df: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
+    """The rows of ``df`` that are kept, with all their columns."""
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), F.col(text).alias("text"))
+    return _judged(rows, rules).where("kept").select("row.*")

@@ -11,6 +11,7 @@ from tickfold.llm.best_fit import best_fit
 from tickfold.llm.chosen_path import near_duplicates
 from tickfold.llm.common import table, utf8, words
 from tickfold.llm.histogram_sort import histogram_sort
+from tickfold.llm.multi_index import nearest
 from tickfold.llm.prefix_doubling import digest, repeats
 from tickfold.llm.quality_rules import RULES, STOP_WORDS, quality_rules
 from tickfold.llm.raking import form_topic, mix
@@ -26,6 +27,10 @@ SHARDS = 40
 POWERS = {"source": 0.8, "lang": 0.9, "topic": 0.9}
 
 
+def op1_multi_index(spark: SparkSession, d: str) -> DataFrame:
+    return nearest(table(spark, d, "embeddings"), F.col("id") % 20 == 0, k=20)
+
+
 def op2_token_files(spark: SparkSession, d: str) -> DataFrame:
     docs, path = table(spark, d, "documents"), shared_folder(spark, "tokens")
     files = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -172,6 +177,7 @@ _OP6 = f"""WITH a AS (SELECT doc_id, coalesce(text, '') AS t, {_W} AS w,
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_multi_index,
         op2_token_files,
         op3_chosen_path,
         op4_token_counts,

@@ -73,26 +73,35 @@ def rake(cells: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
     return out
 
 
+#: Cells up to this number (a few MB) are broadcast to the documents, more are joined by shuffle.
+BROADCAST_CELLS = 20_000
+
+
 def mix(
     df: DataFrame,
     powers: dict[str, float],
     doc_id: str = "doc_id",
     tokens: str = "n_tokens",
     seed: str = "",
+    carry: str | None = None,
 ) -> DataFrame:
-    """doc_id, the three dimensions, n_tokens, probability and sampled."""
+    """doc_id, the three dimensions, n_tokens, probability and sampled, and the column named
+    by ``carry``."""
     docs = df.select(
         F.col(doc_id).cast("long").alias("doc_id"),
         *[F.col(d).cast("string").alias(d) for d in DIMENSIONS],
         F.col(tokens).cast("long").alias("n_tokens"),
+        *([F.col(carry)] if carry else []),
     )
     cells = docs.groupBy(*DIMENSIONS).agg(F.sum("n_tokens").alias("tokens"))
-    raked = rake(with_targets(written(cells.where("tokens > 0"), "cells"), powers))
+    cells = written(cells.where("tokens > 0"), "cells")
     rate = F.col("weight") / F.col("tokens")
-    rates = raked.withColumn("rate", rate).select(*DIMENSIONS, "rate")
-    rates = rates.join(rates.agg(F.max("rate").alias("top"))).select(
+    raked = rake(with_targets(cells, powers)).withColumn("rate", rate)
+    rates = raked.join(raked.agg(F.max("rate").alias("top"))).select(
         *[F.col(d).alias(f"_{d}") for d in DIMENSIONS], (F.col("rate") / F.col("top")).alias("p")
     )
+    if cells.count() <= BROADCAST_CELLS:
+        rates = F.broadcast(rates)
     same = reduce(
         lambda a, b: a & b, [F.col(d).eqNullSafe(F.col(f"_{d}")) for d in DIMENSIONS]
     )
@@ -100,7 +109,14 @@ def mix(
         docs.join(rates, same, "left")
         .withColumn("probability", F.coalesce(F.col("p"), F.lit(0.0)))
         .withColumn("sampled", draw(F.col("doc_id"), seed) < F.col("probability"))
-        .select("doc_id", *DIMENSIONS, "n_tokens", "probability", "sampled")
+        .select(
+            "doc_id",
+            *DIMENSIONS,
+            "n_tokens",
+            "probability",
+            "sampled",
+            *([carry] if carry else []),
+        )
     )
 
 

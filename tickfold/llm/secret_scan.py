@@ -183,40 +183,45 @@ def _cuts(scanned: DataFrame, alpha: float) -> list[int]:
     return cuts
 
 
-def secret_spans(
-    df: DataFrame, alpha: float = ALPHA, doc_id: str = "doc_id", text: str = "text"
+def _scan(t: Column) -> tuple[Column, Column]:
+    """Spans of known forms, and the other runs with their matches."""
+    assigned = F.filter(_matches(t, ASSIGN, 2), lambda m: F.length(m["value"]) >= MIN_ASSIGNED)
+    forms = [assigned, _matches(t, ACCESS), _matches(t, HEX)]
+    return F.concat(*[_known(k, m) for k, m in enumerate(forms)]), _matches(t, RUN)
+
+
+def _tested(runs: Column) -> Column:
+    row = lambda r: F.struct(
+        r["start"].alias("start"),
+        r["end"].alias("end"),
+        battery(r["value"]).alias("p"),
+        _length_class(F.length(r["value"])).alias("class"),
+    )
+    return F.transform(runs, row).cast(_CANDIDATE)
+
+
+def _by_start(spans: Column) -> Column:
+    key = lambda s: F.struct(s["start"].alias("a"), s["kind"].alias("k"), s["end"].alias("e"))
+    row = lambda s: F.struct(s["a"].alias("start"), s["e"].alias("end"), s["k"].alias("kind"))
+    return F.transform(F.array_sort(F.transform(spans, key)), row)
+
+
+def with_spans(
+    df: DataFrame, alpha: float = ALPHA, text: str = "text", carry: list[str] | None = None
 ) -> DataFrame:
-    """doc_id and ``found``: spans (start, end, kind as index in ``KINDS``) by start."""
-    t = F.col("text")
-    docs = df.select(F.col(doc_id).cast("long").alias("doc_id"), utf8(F.col(text)).alias("text"))
-    known = docs.withColumns(
-        {
-            "assign": F.filter(
-                _matches(t, ASSIGN, 2), lambda m: F.length(m["value"]) >= MIN_ASSIGNED
-            ),
-            "access": _matches(t, ACCESS),
-            "hex": _matches(t, HEX),
-            "run": _matches(t, RUN),
-        }
-    ).select(
-        "doc_id",
-        F.concat(*[_known(k, F.col(name)) for k, name in enumerate(KINDS[:3])]).alias("base"),
-        "run",
+    """``row``, the carried columns of ``df`` (all of them), and ``found``: spans (start, end,
+    kind as index in ``KINDS``) by start."""
+    columns = df.columns if carry is None else carry
+    rows = df.select(
+        F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), utf8(F.col(text)).alias("text")
     )
+    base, runs = _scan(F.col("text"))
+    known = rows.select("row", base.alias("base"), runs.alias("run"))
     free = F.filter(
         "run",
         lambda r: ~F.exists("base", lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"])),
     )
-    tested = F.transform(
-        free,
-        lambda r: F.struct(
-            r["start"].alias("start"),
-            r["end"].alias("end"),
-            battery(r["value"]).alias("p"),
-            _length_class(F.length(r["value"])).alias("class"),
-        ),
-    ).cast(_CANDIDATE)
-    scanned = written(known.select("doc_id", "base", tested.alias("candidates")), "secrets")
+    scanned = written(known.select("row", "base", _tested(free).alias("candidates")), "secrets")
     cut = F.array(*[F.lit(c) for c in _cuts(scanned, alpha)])
     left = F.filter("candidates", lambda c: _bin(c["p"]) < F.element_at(cut, c["class"] + 1))
     random = F.transform(
@@ -225,13 +230,15 @@ def secret_spans(
             c["start"].alias("start"), c["end"].alias("end"), F.lit(3).alias("kind")
         ),
     ).cast(_SPAN)
-    order = lambda spans: F.transform(
-        F.array_sort(
-            F.transform(spans, lambda s: F.struct(s["start"].alias("a"), s["kind"].alias("k"), s["end"].alias("e")))
-        ),
-        lambda s: F.struct(s["a"].alias("start"), s["e"].alias("end"), s["k"].alias("kind")),
-    )
-    return scanned.select("doc_id", order(F.concat("base", random)).alias("found"))
+    return scanned.select("row", _by_start(F.concat("base", random)).alias("found"))
+
+
+def secret_spans(
+    df: DataFrame, alpha: float = ALPHA, doc_id: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """doc_id and ``found``, see ``with_spans``. The scan is written without the texts."""
+    slim = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    return with_spans(slim, alpha, carry=["doc_id"]).select("row.doc_id", "found")
 
 
 def span_digest(spans: Column) -> Column:
