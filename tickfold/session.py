@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import functools
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -45,3 +47,19 @@ def shared_folder(spark: SparkSession, name: str) -> str:
             raise ValueError(f"set {CHECKPOINT_CONF} to a folder shared by all executors")
         root = _local_root()
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package, also where it is only on the driver's path.
+
+    The driver serves it as an archive to all executors, once for each application."""
+    sc = spark.sparkContext
+    if sc.applicationId not in _shipped:
+        package = os.path.dirname(os.path.abspath(__file__))
+        to = os.path.join(tempfile.mkdtemp(prefix="tickfold-"), "tickfold")
+        root, name = os.path.split(package)
+        sc.addPyFile(shutil.make_archive(to, "zip", root, name))
+        _shipped.add(sc.applicationId)
