@@ -22,6 +22,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tickfold.session import ship_package
+
 LENGTHS = (512, 1024, 2048, 4096, 8192)
 OVERHEAD = 64  # tokens that opening a sequence costs besides its length
 BLOCK_PIECES = 50_000
@@ -76,6 +78,7 @@ def best_fit(
     tokens: str | Column = "n_tokens",
 ) -> DataFrame:
     """A row per piece: doc_id, piece, first_token, n_tokens, bin_id, bin_start, capacity."""
+    ship_package(df.sparkSession)
     lengths = tuple(sorted(lengths))
     longest = lengths[-1]
     count = F.col(tokens) if isinstance(tokens, str) else tokens

@@ -36,6 +36,7 @@ from pyspark.sql import DataFrame, functions as F
 from tickfold.llm.common import groups, written
 from tickfold.llm.components import components
 from tickfold.llm.shingles import mix, parts, shingle_sets
+from tickfold.session import ship_package
 
 SKETCH = 128
 TREES, BRANCHES = 4, 2
@@ -438,6 +439,7 @@ def near_duplicates(
 ) -> DataFrame:
     """doc_id, n_shingles, component_id and kept: documents linked at ``percent`` or more of
     their union, over chains."""
+    ship_package(df.sparkSession)
     if percent < PERCENT:
         raise ValueError(f"the trees find pairs of {PERCENT} percent or more")
     docs = df.select(

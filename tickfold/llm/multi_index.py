@@ -33,6 +33,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
 from tickfold.llm.common import groups
+from tickfold.session import ship_package
 
 BITS, PARTS = 64, 8
 SAMPLE = 4096  # rows that the rotation and the radius are learned from
@@ -195,6 +196,7 @@ def nearest(
     vector: str = "embedding",
 ) -> DataFrame:
     """query_id, rank (from 1), vec_id, score for every row that ``is_query`` (of ``id``)."""
+    ship_package(df.sparkSession)
     wrong = lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))
     rows = df.select(F.col(vec_id).cast("long").alias("id"), F.col(vector).alias("vector")).where(
         F.col("id").isNotNull()

@@ -35,6 +35,7 @@ from pyspark.sql.window import Window
 
 from tickfold.llm.common import written
 from tickfold.llm.shingles import mix, parts, text_bytes
+from tickfold.session import ship_package
 
 LENGTH, FIRST = 100, 32
 STARTS = LENGTH - FIRST + 1  # prefixes of the first rank inside a window
@@ -194,6 +195,7 @@ def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, text, and what of it repeats: ``covers`` (packed places of anchors) and
     ``windows`` (starts), both null if there are none."""
+    ship_package(df.sparkSession)
     docs = df.select(
         F.col(doc_id).cast("long").alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("text")
     )
