@@ -20,6 +20,8 @@ from tickfold.session import shared_folder  # noqa: E402
 from tickfold.sources.events import (  # noqa: E402
     CELLS,
     long_readings,
+    shared_cells,
+    shared_wide_rows,
     text_readings,
     wide_map_rows,
     wide_rows,
@@ -125,8 +127,10 @@ def _means(spark: SparkSession, d: str, grain: str = "minute", **options: str) -
 
 @_query(f"WITH {_w()} SELECT {_WIDE} FROM w")
 def full_scan(spark: SparkSession, d: str) -> DataFrame:
-    """The unfiltered wide table."""
-    return wide_rows(spark, d)
+    """The unfiltered wide table, stored and read back with its declared schema."""
+    path, rows = shared_folder(spark, "wide"), wide_rows(spark, d)
+    rows.write.parquet(path)
+    return src.full_scan(spark, path, schema=rows.schema)
 
 
 @_query(f"WITH {_r()} SELECT count(*) AS n_rows, max(ms) AS hwm FROM r")
@@ -215,6 +219,18 @@ def page_per_split(spark: SparkSession, d: str) -> DataFrame:
     return src.page_per_split(wide_rows(spark, d).select(split, "*"), "split")
 
 
+@_query(f"""WITH {_r('millisecond')}, o AS (SELECT ms, row_number() OVER (ORDER BY ms) - 1 AS t
+  FROM (SELECT DISTINCT ms FROM r)),
+ e AS (SELECT t // 100 AS b, max(ms) AS hwm FROM o GROUP BY 1),
+ s AS (SELECT hwm // 1000 AS step, min(hwm) AS hwm FROM e GROUP BY 1)
+ SELECT o.ms, s.hwm FROM o JOIN s ON o.ms // 1000 = s.step WHERE o.ms > s.hwm""")
+def late_ticks(spark: SparkSession, d: str) -> DataFrame:
+    """Ticks that page ends, kept in whole seconds and padded, would skip."""
+    rows = wide_rows(spark, d, "millisecond").select(fn.key_millis("row_key").alias("ms"))
+    ends = op.assign_pages(rows, unique=True).groupBy("page_id").agg(F.max("ms").alias("ms"))
+    return src.late_rows(rows, ends, precision_ms=1000)
+
+
 @_query(f"""WITH {_p()}, e AS (SELECT page_id, max(ms) AS hwm FROM p GROUP BY 1),
  s AS (SELECT hwm // {HOUR_MS} AS step, min(hwm) AS hwm FROM e GROUP BY 1)
  SELECT r.ms, r.sensor_id, r.v, s.hwm FROM r JOIN s ON r.ms // {HOUR_MS} = s.step
@@ -499,10 +515,77 @@ def sink_roundtrip(spark: SparkSession, d: str) -> DataFrame:
 def incremental_run(spark: SparkSession, d: str) -> DataFrame:
     """The loop over pages, resuming from the watermark in the sink."""
     sink = src.FileTable(shared_folder(spark, "records")).create(spark)
-    run_incremental(spark, wide_rows(spark, d, "hour"), sink, CELLS, pages_per_round=4)
+    wide = wide_rows(spark, d, "hour")
+    report = run_incremental(
+        spark, wide, sink, CELLS, pages_per_round=4, max_batches=sys.maxsize
+    )
+    assert report.status == "not enough data", report
+    return sink.read(spark)
+
+
+@_query(f"WITH {_c('millisecond')} {_sink('c WHERE page_id < 5')}")
+def incremental_run_raw(spark: SparkSession, d: str) -> DataFrame:
+    """Five pages of the loop over ticks a few milliseconds apart, in rounds of two."""
+    sink = src.FileTable(shared_folder(spark, "records")).create(spark)
+    wide = wide_rows(spark, d, "millisecond")
+    run_incremental(spark, wide, sink, CELLS, pages_per_round=2, max_batches=5)
     return sink.read(spark)
 
 
+@_query(f"""WITH {_c()} SELECT 'written' AS kind, sensor_id, ms, value FROM c WHERE sensor_id < 4
+ UNION ALL SELECT 'rejected', NULL, ms, value FROM c WHERE sensor_id >= 4""")
+def incremental_run_rejects(spark: SparkSession, d: str) -> DataFrame:
+    """The loop where half of the qualifiers have no numeric id: their means go to a table of
+    rejects, and no page is read twice."""
+    sink = src.FileTable(shared_folder(spark, "records")).create(spark)
+    schema = op.mark_sink_rows(_means(spark, d)).schema
+    bad = src.FileTable(shared_folder(spark, "rejects"), schema=schema).create(spark)
+    names = {f"sensor{i}": f"pump{i}" for i in range(4, 8)}
+    wide = wide_rows(spark, d).withColumnsRenamed(names)
+    cells = [names.get(c, c) for c in CELLS]
+    run_incremental(
+        spark, wide, sink, cells, pages_per_round=50, max_batches=sys.maxsize, rejects=bad
+    )
+    columns = ["sensor_id", fn.millis_of("date").alias("ms"), F.col("value").cast("long").alias("value")]
+    good = sink.read(spark).select(F.lit("written").alias("kind"), *columns)
+    return good.unionAll(bad.read(spark).select(F.lit("rejected"), *columns))
+
+
+def _shared(columns: int) -> str:
+    """Run means where two columns have one sensor id."""
+    half = columns // 2
+    return f"""SELECT {{mode}} AS mode, page_id, i AS chunk_idx, sensor_id, max(ms) AS ms,
+ CAST(sum(v) // 10 AS BIGINT) AS value FROM (SELECT r.*, t // 100 AS page_id, n_rows,
+  (row_number() OVER (PARTITION BY t // 100, sensor_id ORDER BY ms, v) - 1) // 10 AS i
+  FROM (SELECT {_ms('minute')} AS ms, user_id % {columns} AS c,
+   CAST(user_id % {columns} % {half} AS INT) AS sensor_id, MAX(CAST(floor(value) AS INT)) AS v
+   FROM events GROUP BY 1, 2, 3) r JOIN o USING (ms) JOIN n ON n.b = t // 100)
+ WHERE n_rows >= 10 AND i < n_rows // 10 GROUP BY ALL"""
+
+
+@_query(f"WITH {_p()} {_shared(16)} UNION ALL {_shared(16)} UNION ALL {_shared(40)}".format(mode="{mode}")
+        .replace("{mode}", "'few'", 1).replace("{mode}", "'map'", 1).replace("{mode}", "'many'", 1))
+def chunk_mean_shared_id(spark: SparkSession, d: str) -> DataFrame:
+    """Two qualifiers for each sensor id: as few columns, as a map, and as many columns."""
+
+    def means(mode: str, n: int) -> DataFrame:
+        wide, cells = shared_wide_rows(spark, d, n), shared_cells(n)
+        if mode == "map":
+            pairs = [x for c in cells for x in (F.lit(c), F.col(f"`{c}`"))]
+            wide, cells = wide.select("row_key", F.create_map(*pairs).alias("cells")), "cells"
+        out = backfill_means(wide, cells).select(
+            F.lit(mode).alias("mode"),
+            "page_id",
+            "chunk_idx",
+            F.col("sensor_id").cast("int").alias("sensor_id"),
+            "ms",
+            "value",
+        )
+        return out
+
+    return means("few", 16).unionAll(means("map", 16)).unionAll(means("many", 40))
+
+
 @_query("SELECT s_suppkey AS sensor_id FROM supplier ORDER BY 1 DESC")
 def dim_desc(spark: SparkSession, d: str) -> DataFrame:
     """The dimension by descending id."""
@@ -536,7 +619,9 @@ def stream_count_window(spark: SparkSession, d: str) -> DataFrame:
     from its checkpoint for each."""
     path = shared_folder(spark, "stream")
     readings = long_readings(spark, d, "millisecond")
-    arrival = F.least(fn.int_div(F.dayofmonth(fn.timestamp_of("ms")), 11), F.lit(2))
+    ends = readings.agg(F.min("ms").alias("a"), F.max("ms").alias("b")).first()
+    third = max(1, ((ends["b"] or 0) - (ends["a"] or 0)) // 3 + 1)
+    arrival = fn.int_div(F.col("ms") - (ends["a"] or 0), third)
     for delivery in range(3):
         readings.where(arrival == delivery).write.mode("append").parquet(f"{path}/in")
         stream = spark.readStream.schema(readings.schema).parquet(f"{path}/in")

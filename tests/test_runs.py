@@ -162,3 +162,27 @@ def test_bad_readings_are_set_aside(spark):
     good, bad = op.split_marked(op.mark_readings(readings))
     assert [(r["ms"], r["v"]) for r in good.collect()] == [(T0, 5)]
     assert sorted(r["reason"] for r in bad.collect()) == ["bad row_key"] + ["bad value"] * 3
+
+
+def test_columns_that_share_an_id_make_one_run(spark, monkeypatch):
+    rows = [(str(T0 + i * 1000), "10", "20") for i in range(10)]
+    wide = spark.createDataFrame(rows, "row_key string, sensor1 string, `1` string")
+    want = [(1, T0 + 4000, 15)]
+    assert as_means(backfill_means(wide, ["sensor1", "1"])) == want
+    monkeypatch.setattr("tickfold.plans.backfill.PACK_ABOVE", 1)
+    assert as_means(backfill_means(wide, ["sensor1", "1"])) == want
+
+
+def test_names_with_quotes(spark):
+    names = ["it's", "back`tick", "a\\b"]
+    rows = [(str(T0 + i * 1000), "1", "2", "3") for i in range(10)]
+    wide = spark.createDataFrame(rows, ["row_key", *names])
+    got = {r["sensor_id"]: r["value"] for r in backfill_means(wide, names).collect()}
+    assert got == {"it's": 1, "back`tick": 2, "a\\b": 3}
+    assert op.row_arrays(wide, names).first()["readings"][0]["value"] == "3"
+
+
+def test_repeated_keys_are_refused_unless_they_are_expected(spark):
+    doubled = wide_frame(spark, _rows(10) + _rows(3))
+    with pytest.raises(Exception, match="repeated row key"):
+        backfill_means(doubled, CELLS).collect()

@@ -27,6 +27,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from tickfold.operators.unpivot import quoted
 from tickfold.schema import MAX_KEY_MS, PAGE_SIZE
 
 HOUR_MS = 3_600_000
@@ -153,16 +154,21 @@ def assign_pages(
     placed = (
         df.selectExpr("*", f"{hour_of(ms)} AS key_hour")
         .join(F.broadcast(slots), F.expr("key_hour = hour"))
-        .selectExpr(*[f"`{c}`" for c in df.columns], f"{_slot_of(f'`{ms}`')} AS key_slot")
+        .selectExpr(*[quoted(c) for c in df.columns], f"{_slot_of(f'`{ms}`')} AS key_slot")
         .join(F.broadcast(table), F.expr(f"key_slot = slot AND `{ms}` BETWEEN lo AND hi"))
     )
     tick = "row_number()" if unique else "dense_rank()"
     ordinal = f"part * span + bigint({tick} OVER (PARTITION BY part ORDER BY `{ms}`)) - 1"
+    if unique:
+        # Equal keys are always in one part, and this window is sorted already.
+        before = f"lag(`{ms}`) OVER (PARTITION BY part ORDER BY `{ms}`)"
+        repeated = f"raise_error(concat('repeated row key ', `{ms}`, ': pass unique_keys=False'))"
+        ordinal = f"if({before} = `{ms}`, bigint({repeated}), {ordinal})"
     return (
         placed.selectExpr("*", f"{ordinal} AS tick")
         .selectExpr("*", f"tick div {page_size} AS page_id")
         .selectExpr(
-            *[f"`{c}`" for c in df.columns],
+            *[quoted(c) for c in df.columns],
             "part",
             "page_id",
             f"least({page_size}, n_ticks - page_id * {page_size}) AS n_rows",
@@ -171,7 +177,9 @@ def assign_pages(
     )
 
 
-def known_pages(df: DataFrame, ends: Sequence[tuple[str, int]], key: str = "row_key") -> DataFrame:
+def known_pages(
+    df: DataFrame, ends: Sequence[tuple[str | int, int]], key: str = "row_key"
+) -> DataFrame:
     """The same columns for a few pages whose last keys and row counts are already known.
 
     ``ends`` lists ``(last key, rows)`` in page order; it is as long as the number of

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tickfold.functions import int_div
-from tickfold.operators.unpivot import literal_ids
+from tickfold.operators.unpivot import column_ids, literal_ids, quoted
 from tickfold.schema import RUN_LENGTH
 
 PAGE = ["part", "page_id"]
@@ -55,20 +55,23 @@ def wide_chunk_index(
 
     The same runs as ``chunk_index``, for declared columns and one row per tick. A
     reading's position is the running count of its column, so the wide rows are sorted
-    by time once and the readings, many more, not at all.
+    by time once and the readings, many more, not at all. Columns that share a sensor id
+    would need one count for both; the long form has it.
     """
+    if len(set(column_ids(cells))) < len(cells):
+        raise ValueError("columns share a sensor id: use chunk_index on readings")
     counts = [
-        f"count(`{c}`) OVER (PARTITION BY part, page_id ORDER BY ms"
+        f"count({quoted(c)}) OVER (PARTITION BY part, page_id ORDER BY ms"
         f" ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS position{i}"
         for i, c in enumerate(cells)
     ]
     triples = ", ".join(
-        f"{sensor}, `{c}`, (position{i} - 1) div {run_length}"
+        f"{sensor}, {quoted(c)}, (position{i} - 1) div {run_length}"
         for i, (sensor, c) in enumerate(zip(literal_ids(cells), cells))
     )
     return (
         _cut_tail(paged, run_length, tail_policy)
-        .selectExpr("part", "page_id", "n_rows", "ms", *[f"`{c}`" for c in cells], *counts)
+        .selectExpr("part", "page_id", "n_rows", "ms", *[quoted(c) for c in cells], *counts)
         .selectExpr(
             "part", "page_id", "n_rows", "ms",
             f"stack({len(cells)}, {triples}) AS (sensor_id, value, chunk_idx)",

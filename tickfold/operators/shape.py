@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from tickfold.functions import key_millis, parse_int, strict_int, timestamp_of
+from tickfold.operators.unpivot import quoted
 
 
 def typed_readings(readings: DataFrame, row_key: str = "row_key") -> DataFrame:
@@ -29,7 +30,9 @@ def drop_bad_cells(wide: DataFrame, cells: Sequence[str]) -> DataFrame:
 
     ``mark_readings`` on the unpivoted source shows what was dropped.
     """
-    return wide.withColumns({c: F.when(parse_int(c).isNotNull(), F.col(c)) for c in cells})
+    return wide.withColumns(
+        {c: F.when(parse_int(F.col(quoted(c))).isNotNull(), F.col(quoted(c))) for c in cells}
+    )
 
 
 def mark_sink_rows(means: DataFrame) -> DataFrame:

@@ -10,11 +10,23 @@ from tickfold.functions import sensor_id_of
 from tickfold.schema import QUALIFIER_WORD
 
 
+def quoted(name: str) -> str:
+    """A column name in SQL text."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def column_ids(cells: Sequence[str]) -> list[str]:
+    """The sensor id of each declared column; two columns may have the same."""
+    return [c.replace(QUALIFIER_WORD, "") for c in cells]
+
+
 def literal_ids(cells: Sequence[str]) -> list[str]:
     """SQL literals of the sensor ids: integers if all are plain numbers, else text."""
-    ids = [c.replace(QUALIFIER_WORD, "") for c in cells]
+    ids = column_ids(cells)
     plain = all(i.isdecimal() and i == str(int(i)) and int(i) < 2**31 for i in ids)
-    return ids if plain else [f"'{i}'" for i in ids]
+    if plain:
+        return ids
+    return ["'" + i.replace("\\", "\\\\").replace("'", "\\'") + "'" for i in ids]
 
 
 def unpivot_static(
@@ -25,7 +37,7 @@ def unpivot_static(
     The sensor ids are known when the plan is built, so they enter it as literals and
     no text is replaced per cell.
     """
-    pairs = ", ".join(f"{i}, `{c}`" for i, c in zip(literal_ids(cells), cells))
+    pairs = ", ".join(f"{i}, {quoted(c)}" for i, c in zip(literal_ids(cells), cells))
     stacked = f"stack({len(cells)}, {pairs}) AS (sensor_id, value)"
     return df.selectExpr(*ids, stacked).where("value IS NOT NULL")
 
@@ -36,7 +48,7 @@ def pack_cells(df: DataFrame, cells: Sequence[str], ids: Sequence[str] = ("row_k
     Above about a hundred columns Spark gives up generated code for a stage and copies
     every column at every step; an array is copied as one block.
     """
-    return df.select(*ids, F.array(*[F.col(f"`{c}`") for c in cells]).alias("cells"))
+    return df.select(*ids, F.array(*[F.col(quoted(c)) for c in cells]).alias("cells"))
 
 
 def unpivot_packed(
@@ -68,7 +80,7 @@ def row_arrays(df: DataFrame, cells: Sequence[str], row_key: str = "row_key") ->
     never larger than the row it came from.
     """
     pairs = ", ".join(
-        f"struct({i} AS sensor_id, `{c}` AS value)" for i, c in zip(literal_ids(cells), cells)
+        f"struct({i} AS sensor_id, {quoted(c)} AS value)" for i, c in zip(literal_ids(cells), cells)
     )
     present = F.filter(F.expr(f"array({pairs})"), lambda e: e["value"].isNotNull())
     return df.select(row_key, F.array_sort(present).alias("readings"))

@@ -1,4 +1,6 @@
-"""A whole backlog in one pass. Equal to reading it page by page until it is used up."""
+"""A whole backlog in one pass. Equal to reading it page by page until it is used up, if a page
+is a whole number of runs: otherwise what a page leaves over belongs to the next one, which then
+has no place of its own, and the plan refuses."""
 
 from __future__ import annotations
 
@@ -21,6 +23,7 @@ from tickfold.operators import (
     wide_chunk_index,
 )
 from tickfold.operators.pages import MAX_PARTS, TICKS_PER_PART
+from tickfold.operators.unpivot import column_ids
 from tickfold.schema import MIN_PAGE_ROWS, PAGE_SIZE, RUN_LENGTH
 
 PAGE_COLUMNS = ["part", "page_id", "n_rows", "tick_no", "ms"]
@@ -30,6 +33,10 @@ PAGE_COLUMNS = ["part", "page_id", "n_rows", "tick_no", "ms"]
 PACK_ABOVE = 32
 
 
+def _shared(cells: Sequence[str] | str) -> bool:
+    return not isinstance(cells, str) and len(set(column_ids(cells))) < len(cells)
+
+
 def _many(cells: Sequence[str] | str) -> bool:
     return not isinstance(cells, str) and len(cells) > PACK_ABOVE
 
@@ -94,7 +101,7 @@ def means_of_pages(
     """
     if on_error not in ("fail", "reject"):
         raise ValueError(f"unknown on_error {on_error!r}")
-    if isinstance(cells, str) or _many(cells) or not unique_keys:
+    if isinstance(cells, str) or _many(cells) or _shared(cells) or not unique_keys:
         readings = _unpivot(paged, cells, on_error)
         return chunk_mean(readings, run_length, divisor, rounding, tail_policy)
     if on_error == "reject":
@@ -122,6 +129,8 @@ def backfill_means(
     The source is read three times (twice its key column only), so it must not change
     meanwhile. A frame over files does not: it lists them once.
     """
+    if page_size % run_length:
+        raise ValueError("a page must be a whole number of runs; use run_incremental")
     rows = source_rows(wide, cells)
     paged = paged_rows(rows, page_size, min_rows, max_parts, ticks_per_part, unique_keys)
     return means_of_pages(

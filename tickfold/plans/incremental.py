@@ -1,30 +1,36 @@
 """The incremental loop: watermark, next pages, means, append, repeat.
 
-One round is three jobs: the watermark of the sink, the ends of the next pages (key column
-only), and one append. Only those scalars reach the driver.
+A run starts after the watermark of the sink and then keeps its own read position, the last key
+of the pages that are done, so its result does not depend on how many pages a round takes. One
+round is two jobs: the ends of the next pages (key column only) and one append. Only those
+scalars reach the driver.
 """
 
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
-from tickfold.operators import known_pages, sink_shape
+from tickfold.functions import millis_of
+from tickfold.operators import known_pages, mark_sink_rows, split_marked
 from tickfold.plans.backfill import means_of_pages, source_rows
-from tickfold.schema import HWM_PAD_MS, MAX_BATCHES, MIN_PAGE_ROWS, PAGE_SIZE, RUN_LENGTH
+from tickfold.schema import MAX_BATCHES, MIN_PAGE_ROWS, PAGE_SIZE, RUN_LENGTH
 from tickfold.sources.relational import JdbcTable
 from tickfold.sources.tables import FileTable
-from tickfold.sources.wide import key_after, page_ends
+from tickfold.sources.wide import key_after, key_until, next_page_ends
 
 
 @dataclass(frozen=True)
 class RunReport:
     batches: int
     rounds: int
-    status: str  # "not enough data", "held", "no progress", "max batches" or "stopped"
+    status: str  # "not enough data", "held", "max batches" or "stopped"
+    position: int | None = None  # the key after which a later run may go on
+    rejected: int = 0  # means that could not be written
 
 
 def run_incremental(
@@ -38,50 +44,81 @@ def run_incremental(
     min_rows: int = MIN_PAGE_ROWS,
     max_batches: int = MAX_BATCHES,
     pages_per_round: int = 1,
-    hwm_pad_ms: int = HWM_PAD_MS,
+    hwm_pad_ms: int | None = None,
+    start_after: int | None = None,
+    key_order: str = "string",
+    rejects: FileTable | None = None,
     clock: Callable[[], float] = time.time,
     stop: Callable[[], bool] = lambda: False,
     **mean_options: str,
 ) -> RunReport:
     """Roll up pages of ``source`` into ``sink`` until it has no full enough page left.
 
-    ``source`` may be a callable, to see new data in every round. Up to
-    ``pages_per_round`` pages are written by one append. With more than one page in a
-    round, the watermark between them is exact instead of padded.
+    ``source`` may be a callable, to see new data in every round. Up to ``pages_per_round``
+    pages are written by one append; the result is the same for any number. A page that is no
+    whole number of runs needs one page per round, since the next one starts with its rest.
+
+    The run starts after ``start_after`` (a report's ``position``) or after the watermark of the
+    sink plus ``hwm_pad_ms``, by default the rest of the step in which the sink keeps dates.
+    A full page is done up to its last key; a short one up to its last written date, so that
+    readings of unfinished runs are read again when more data is there.
 
     A page is written once ``clock`` (seconds) has reached its last row. Pages that are not
-    due stay in the source and end the run. ``stop`` is asked between rounds.
-    A failing job ends the run with its error; restarting continues from the sink. A round
-    that moves no watermark (none of its rows could be written) would be read again and
-    again, so it ends the run.
+    due stay in the source and end the run. ``stop`` is asked between rounds. Means that cannot
+    be written are counted, appended to ``rejects`` if given, and stepped over.
+    A failing job ends the run with its error; restarting continues from the sink.
     """
-    batches = rounds = 0
-    previous: int | None = None
+    whole = page_size % run_length == 0
+    if pages_per_round > 1 and not whole:
+        raise ValueError("more than one page in a round needs pages of a whole number of runs")
+    batches = rounds = rejected = 0
+    position, width = start_after, None
+    if position is None:
+        hwm = sink.high_water_ms(spark)
+        pad = sink.precision_ms - 1 if hwm_pad_ms is None else hwm_pad_ms
+        position = None if hwm is None else hwm + pad
+
+    def report(status: str) -> RunReport:
+        return RunReport(batches, rounds, status, position, rejected)
+
     while batches < max_batches:
         if stop():
-            return RunReport(batches, rounds, "stopped")
+            return report("stopped")
         df = source() if callable(source) else source
-        hwm = sink.high_water_ms(spark)
-        if rounds and hwm == previous:
-            return RunReport(batches, rounds, "no progress")
-        previous = hwm
         n_pages = min(pages_per_round, max_batches - batches)
-        found = page_ends(df, hwm, n_pages, page_size, hwm_pad_ms).orderBy("page_id").collect()
-        full = [(p["last_key"], p["n_rows"]) for p in found if p["n_rows"] >= min_rows]
+        found = next_page_ends(df, position, n_pages, page_size, width, key_order=key_order)
+        full = [page for page in found if page[1] >= min_rows]
         if not full:
-            return RunReport(batches, rounds, "not enough data")
+            return report("not enough data")
         now_ms = clock() * 1000
-        due = [page for page in full if int(page[0]) <= now_ms]
+        due = [page for page in full if page[0] <= now_ms]
         if not due:
-            return RunReport(batches, rounds, "held")
+            return report("held")
 
-        rows = key_after(df, hwm, hwm_pad_ms).where(F.col("row_key") <= due[-1][0])
-        paged = known_pages(source_rows(rows, cells), due)
-        batch = sink_shape(means_of_pages(paged, cells, run_length, **mean_options))
+        last_key, last_size = due[-1]
+        rows = key_until(key_after(df, position, 0, key_order=key_order), last_key, key_order=key_order)
+        paged = known_pages(source_rows(rows, cells), due, "ms")
+        seen = Observation(f"round {uuid.uuid4().hex}")
+        good = F.col("reason").isNull()
+        marked = mark_sink_rows(means_of_pages(paged, cells, run_length, **mean_options)).observe(
+            seen,
+            F.count_if(~good).alias("bad"),
+            F.max(F.when(good, millis_of("date"))).alias("newest"),
+        )
+        batch, bad = split_marked(marked)
         if isinstance(sink, JdbcTable):
             sink.append(batch, partitions=1)
         else:
             sink.append(batch)
+        written = seen.get
+        if written["bad"] and rejects is not None:
+            rejects.append(bad)
+        rejected += written["bad"] or 0
+        done = last_key
+        if (last_size < page_size or not whole) and written["newest"] is not None:
+            done = written["newest"]
+        width = 2 * (done - position) if position is not None and done > position else None
+        position = done
         batches += len(due)
         rounds += 1
-    return RunReport(batches, rounds, "max batches")
+    return report("max batches")

@@ -17,13 +17,6 @@ DATE_PATTERN = "yyyy-MM-dd HH:mm:ss"
 # Keys are epoch milliseconds of 13 digits (2001-09-09 to 2286-11-20).
 MAX_KEY_MS = 9_999_999_999_999
 
-WIDE_MAP_SCHEMA = T.StructType(
-    [
-        T.StructField("row_key", T.StringType(), False),
-        T.StructField("cells", T.MapType(T.StringType(), T.StringType()), False),
-    ]
-)
-
 SINK_SCHEMA = T.StructType(
     [
         T.StructField("date", T.TimestampType(), True),

@@ -5,7 +5,9 @@ from tickfold.sources.wide import (
     incremental_page,
     key_after,
     key_from,
+    key_until,
     late_rows,
+    next_page_ends,
     page_ends,
     page_per_split,
 )
@@ -19,7 +21,9 @@ __all__ = [
     "incremental_page",
     "key_after",
     "key_from",
+    "key_until",
     "late_rows",
+    "next_page_ends",
     "page_ends",
     "page_per_split",
 ]

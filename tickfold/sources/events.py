@@ -92,3 +92,28 @@ def wide_text_rows(spark: SparkSession, sf_dir: str, grain: str = "minute") -> D
     ]
     ticks = text_readings(spark, sf_dir).groupBy(millis_of(tick).alias("ms")).agg(*cells)
     return ticks.select(F.col("ms").cast("string").alias("row_key"), *CELLS)
+
+
+def shared_cells(n_columns: int) -> list[str]:
+    """Qualifiers of which two each have the same sensor id: with the word and without it."""
+    half = n_columns // 2
+    return [f"sensor{i}" for i in range(half)] + [str(i) for i in range(half)]
+
+
+def shared_wide_rows(
+    spark: SparkSession, sf_dir: str, n_columns: int, grain: str = "minute"
+) -> DataFrame:
+    """``row_key`` and the columns of ``shared_cells``."""
+    column = F.col("user_id") % n_columns
+    value = F.floor("value").cast("int")
+    cells = [
+        F.max(F.when(column == i, value)).cast("string").alias(name)
+        for i, name in enumerate(shared_cells(n_columns))
+    ]
+    ticks = (
+        spark.read.parquet(f"{sf_dir}/events.parquet")
+        .groupBy(millis_of(F.date_trunc(grain, "ts")).alias("ms"))
+        .agg(*cells)
+    )
+    names = [F.col(f"`{c}`") for c in shared_cells(n_columns)]
+    return ticks.select(F.col("ms").cast("string").alias("row_key"), *names)

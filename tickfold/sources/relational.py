@@ -14,13 +14,15 @@ from tickfold.functions import millis_of
 class JdbcTable:
     """``options`` go to Spark's JDBC source unchanged (``user``, ``driver``, ...).
 
-    ``quote`` is the quote mark of the database for names.
+    ``quote`` is the quote mark of the database for names. ``precision_ms`` is the step in
+    which it keeps dates: whole seconds unless its column says otherwise.
     """
 
     url: str
     table: str
     options: Mapping[str, str] = field(default_factory=dict)
     quote: str = '"'
+    precision_ms: int = 1000
 
     def _reader(self, spark: SparkSession) -> DataFrameReader:
         return spark.read.format("jdbc").option("url", self.url).options(**self.options)
@@ -63,6 +65,6 @@ class JdbcTable:
         because the table holds the watermark. Leave it ``None`` for a backlog, so that no
         single task carries the result.
         """
-        batch = df.coalesce(partitions) if partitions else df
+        batch = df.repartition(partitions) if partitions else df
         writer = batch.write.format("jdbc").option("url", self.url).options(**self.options)
         writer.option("dbtable", self.table).mode("append").save()

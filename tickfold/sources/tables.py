@@ -25,11 +25,16 @@ def append_new(batch: DataFrame, existing: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class FileTable:
-    """A table of files in a folder that all executors can reach."""
+    """A table of files in a folder that all executors can reach.
+
+    ``precision_ms`` is the step in which it keeps dates: readers of its watermark must step
+    over the rest of a step.
+    """
 
     path: str
     fmt: str = "parquet"
     schema: StructType = field(default_factory=lambda: SINK_SCHEMA)
+    precision_ms: int = 1
 
     def create(self, spark: SparkSession) -> FileTable:
         """Make the table if it is missing."""

@@ -54,6 +54,14 @@ def key_from(
     return df.where(key >= F.lit(kind(hwm)))
 
 
+def key_until(
+    df: DataFrame, last: int, row_key: str = "row_key", key_order: str = "string"
+) -> DataFrame:
+    """Rows up to a key (inclusive)."""
+    key, kind = _ordered_key(row_key, key_order)
+    return df.where(key <= F.lit(kind(last)))
+
+
 def incremental_page(
     df: DataFrame,
     hwm: int | None,
@@ -97,6 +105,34 @@ def page_ends(
     )
 
 
+def next_page_ends(
+    df: DataFrame,
+    after: int | None,
+    n_pages: int = 1,
+    page_size: int = PAGE_SIZE,
+    width: int | None = None,
+    row_key: str = "row_key",
+    key_order: str = "string",
+) -> list[tuple[int, int]]:
+    """``(last key, rows)`` of the next pages after a key.
+
+    With ``width`` only keys up to ``after + width`` are looked at first, so that the scan of
+    a sorted source is bounded at both ends; the rest is read if that has too few. At most
+    ``n_pages`` rows reach the driver.
+    """
+    key, kind = _ordered_key(row_key, key_order)
+
+    def ends(rows: DataFrame) -> list[tuple[int, int]]:
+        found = page_ends(rows, after, n_pages, page_size, 0, row_key, key_order)
+        return [(int(p["last_key"]), p["n_rows"]) for p in found.orderBy("page_id").collect()]
+
+    if after is not None and width:
+        near = ends(df.where(key <= F.lit(kind(after + width))))
+        if sum(n for _, n in near) == n_pages * page_size:
+            return near
+    return ends(df)
+
+
 def page_per_split(
     df: DataFrame, split: str, page_size: int = PAGE_SIZE, row_key: str = "row_key"
 ) -> DataFrame:
@@ -112,23 +148,34 @@ def page_per_split(
 
 
 def late_rows(
-    df: DataFrame, hwms: DataFrame, precision_ms: int = HWM_PAD_MS + 1, ms: str = "ms"
+    df: DataFrame,
+    hwms: DataFrame,
+    precision_ms: int = HWM_PAD_MS + 1,
+    pad_ms: int | None = None,
+    ms: str = "ms",
 ) -> DataFrame:
     """Rows that a padded watermark skips, with the watermark (``hwm``) that skipped them.
 
-    A sink that stores dates in steps of ``precision_ms`` gives back the start of the step,
-    and the pad then passes over the rest of it. ``hwms`` has the true watermarks in ``ms``.
-    They are reduced to one row per step before the join.
+    A sink that stores dates in steps of ``precision_ms`` gives back the start of the step, and
+    the loop goes on after that plus ``pad_ms`` (the rest of the step by default). Rows after the
+    true watermark up to there are never read. ``hwms`` has the true watermarks in ``ms``; the
+    first one of a step stands for it. A row is given for each watermark that skips it.
     """
-    step = int_div(F.col(ms), precision_ms)
-    first = (
+    pad = precision_ms - 1 if pad_ms is None else pad_ms
+    width = max(precision_ms, pad + 1)  # so that a skipped range meets two buckets at most
+    stored = int_div("hwm", precision_ms) * precision_ms
+    skipped = (
         hwms.select(F.col("ms").alias("hwm"))
-        .groupBy(int_div("hwm", precision_ms).alias("step"))
+        .groupBy(stored.alias("stored"))
         .agg(F.min("hwm").alias("hwm"))
+        .withColumn("cut", F.col("stored") + pad)
+        .where("cut > hwm")
+        .withColumn("bucket", F.explode(F.sequence(int_div("hwm", width), int_div("cut", width))))
+        .drop("stored")
     )
     return (
-        df.withColumn("step", step)
-        .join(first, "step")
-        .where(F.col(ms) > F.col("hwm"))
-        .drop("step")
+        df.withColumn("bucket", int_div(F.col(ms), width))
+        .join(skipped, "bucket")
+        .where((F.col(ms) > F.col("hwm")) & (F.col(ms) <= F.col("cut")))
+        .drop("bucket", "cut")
     )
