@@ -6,7 +6,8 @@ without a dictionary, and row groups and pages are kept small, so that page inde
 fetch a range of ids, or only counts, without the rest.
 
 Encoding splits texts at ASCII white space, which the tokenizer drops and no token crosses, and
-encodes each different piece of a batch once; ``tests/llm`` compares with whole texts.
+encodes each different piece once; ``tests/llm`` compares with whole texts. A tokenizer whose
+tokens hold white space needs another splitter.
 
 Defined cases: null and empty texts have the end id only; repeated rows stay repeated; texts of
 any length are one list; an empty table writes a file without rows; other columns are ignored.
@@ -24,43 +25,61 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.window import Window
 
+from tickfold.session import ship_package
+
 ROWS_SCHEMA = "doc_id long, n_tokens int, ids array<int>"
 READ_SCHEMA = "doc_id long, n_tokens long, ids_crc32 long, file string, row long"
-PIECES_KEPT = 200_000
+PIECES_KEPT = 300_000  # of each generation
+PIECES_AT_ONCE = 1000
 TEXT_PART = 1 << 22  # characters encoded at a time
 
 
-@functools.cache
-def _tokenizer(path: str):
-    from tokenizers import Tokenizer
-
-    return Tokenizer.from_file(path)
-
-
 class Encoder:
-    """Encodes batches of texts; each different piece between white space once."""
+    """Encodes batches of texts; each different piece between white space once.
 
-    def __init__(self, path: str):
-        self.tokenizer = _tokenizer(path)
-        self.known: dict[str, np.ndarray] = {}
+    Pieces are kept in two generations: when the younger one is full it becomes the older one,
+    which takes along what was used lately and forgets the rest."""
 
-    def pieces(self, texts: list[str]) -> list[np.ndarray]:
-        new = [t for t in texts if t not in self.known]
-        if len(self.known) + len(new) > PIECES_KEPT:
-            self.known, new = {}, texts
-        found = self.tokenizer.encode_batch(new, add_special_tokens=False)
-        self.known.update((t, np.array(e.ids, np.int32)) for t, e in zip(new, found, strict=True))
-        return [self.known[t] for t in texts]
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def pieces(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text, as 32-bit integers."""
+        if len(self.young) + len(texts) > PIECES_KEPT:
+            self.old, self.young = self.young, {}
+        young, old = self.young, self.old
+        new = []
+        for t in texts:
+            if t not in young:
+                ids = old.get(t)
+                if ids is None:
+                    new.append(t)
+                else:
+                    young[t] = ids
+        for i in range(0, len(new), PIECES_AT_ONCE):
+            some = new[i : i + PIECES_AT_ONCE]
+            found = self.tokenizer.encode(some, is_pretokenized=True, add_special_tokens=False)
+            ids = np.array(found.ids, "<i4")
+            count = np.bincount(np.array(found.word_ids, np.int64), minlength=len(some))
+            raw, edges = ids.tobytes(), (np.cumsum(count) * 4).tolist()
+            young.update(
+                (t, raw[a:b]) for t, a, b in zip(some, [0, *edges], edges, strict=False)
+            )
+        return [young[t] for t in texts]
 
     def __call__(self, texts: pa.Array, end_id: int) -> pa.ListArray:
         """A list of ids for each text, ``end_id`` last."""
-        split = pc.ascii_split_whitespace(texts)
+        split = pc.ascii_split_whitespace(_plainer(texts))
         coded = split.values.slice(
             split.offsets[0].as_py(), split.offsets[-1].as_py() - split.offsets[0].as_py()
         ).dictionary_encode()
         ids = self.pieces(coded.dictionary.to_pylist())
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.concatenate([np.zeros(0, np.int32), *ids])
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        flat = np.frombuffer(b"".join(ids), "<i4")
         starts = np.cumsum(sizes) - sizes
         which = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         # Tokens before each piece, and before each text with the end ids of those before it.
@@ -77,6 +96,24 @@ class Encoder:
         return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(out))
 
 
+@functools.cache
+def _encoder(path: str) -> Encoder:
+    """One for all tasks of a worker."""
+    return Encoder(path)
+
+
+def _plainer(texts: pa.Array) -> pa.Array:
+    """Texts with the same tokens and fewer different pieces: A-Z lowered, which the tokenizer
+    does itself, and a space between a letter and a full stop or comma, where it always cuts.
+
+    Not so where a mark combines with the letter before it, which lowering first could change,
+    or where a special token may be spelled out."""
+    special = pc.match_substring(texts, "<|")
+    marks = pc.match_substring_regex(texts, "[\u0300-\u036f]")
+    plain = pc.replace_substring_regex(pc.ascii_lower(texts), "([a-z])([.,])", "\\1 \\2")
+    return pc.if_else(pc.or_(special, marks), texts, plain)
+
+
 def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     """Slices of a bounded number of characters, or of one text."""
     sizes = np.cumsum(np.asarray(pc.binary_length(batch.column("text"))))
@@ -94,7 +131,7 @@ def encode(
     """doc_id, n_tokens and ids of whole texts; ``tokenizer`` is a file all executors have."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer)
+        encoder = _encoder(tokenizer)
         for whole in batches:
             for batch in _parts(whole):
                 texts = batch.column("text").cast(pa.string())
@@ -103,6 +140,7 @@ def encode(
                 columns = [batch.column("doc_id"), sizes, ids]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "ids"])
 
+    ship_package(df.sparkSession)
     docs = df.select(
         F.col(doc_id).cast("long").alias("doc_id"),
         F.coalesce(F.col(text), F.lit("")).alias("text"),
@@ -169,6 +207,7 @@ def token_digest(spark: SparkSession, path: str) -> DataFrame:
 
     Files hold ranges of ids in order, so a start is the tokens of the files before plus a
     running sum inside one file. There is one row per file in the small table."""
+    ship_package(spark)
     place = [F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row")]
     rows = read_tokens(spark, path).select("doc_id", "ids", *place)
     checked = rows.mapInArrow(_checked, READ_SCHEMA)
