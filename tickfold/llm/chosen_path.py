@@ -459,7 +459,8 @@ def near_duplicates(
     near = clusters.join(sizes, "component").select(
         "id", F.col("component").alias("cluster"), "m"
     )
-    texts = docs.withColumnRenamed("doc_id", "id").join(near, "id")
+    # A merge join at every size: the number of near documents grows with the table.
+    texts = docs.withColumnRenamed("doc_id", "id").join(near.hint("merge"), "id")
     members = written(
         texts.select("id", "cluster", "m", "text").mapInArrow(
             _sets(width), "id long, cluster long, m long, shingles binary"
