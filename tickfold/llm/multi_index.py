@@ -39,6 +39,7 @@ BITS, PARTS = 64, 8
 SAMPLE = 4096  # rows that the rotation and the radius are learned from
 ROUNDS = 30
 BLOCK, CHUNK = 8192, 4096  # vectors and queries of a task
+WANTED = 40  # the first radius suits the best of this many vectors of a block
 #: Standard deviations of the distance, at the cosine of the 20th best, that the radius covers.
 SPREAD = 2.0
 
@@ -83,6 +84,8 @@ class Codes:
         self.noise = np.sqrt(BITS) if few else np.sqrt(np.mean((left / scale)[close] ** 2))
         if few:
             self.slope = float(BITS)
+        # Where to begin: the cosine that as many pairs exceed as a block has wanted vectors.
+        self.start = self.radius(float(np.quantile(cosine, 1 - WANTED / BLOCK)))
 
     def on_sphere(self, x: np.ndarray) -> np.ndarray:
         x = x / self.top_norm
@@ -131,7 +134,7 @@ class Block:
 
     def nearest(self, query: int, vector: np.ndarray, code: np.ndarray, k: int):
         norm = float(np.sqrt((vector * vector).sum())) * self.codes.top_norm
-        radius = BITS // 4
+        radius = self.codes.start
         while True:
             found = self.within(code, radius)
             found = found[self.ids[found] != query]
@@ -144,7 +147,7 @@ class Block:
             wanted = self.codes.radius(float(np.partition(score, -k)[-k]) / norm)
             if wanted <= radius:
                 break
-            radius = wanted if wanted - radius < 12 else radius + 6
+            radius = wanted if wanted - radius < 8 else radius + 4
         best = np.lexsort((self.ids[found], -score))[:k]
         return self.ids[found[best]], score[best]
 
