@@ -152,4 +152,7 @@ def quality_rules(
 def passing(df: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
     """The rows of ``df`` that are kept, with all their columns."""
     rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), F.col(text).alias("text"))
-    return _judged(rows, rules).where("kept").select("row.*")
+    # A filter on the verdict would move below the projection, with every measure written out
+    # again wherever it is used; a generator stays above it.
+    kept = F.explode(F.when(F.col("kept"), F.array("row")))
+    return _judged(rows, rules).select(kept.alias("row")).select("row.*")
