@@ -10,8 +10,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tickfold.llm.best_fit import best_fit
 from tickfold.llm.chosen_path import near_duplicates
 from tickfold.llm.common import table, utf8, words
+from tickfold.llm.filter_audit import audit, failure_cells
+from tickfold.llm.heavy_copies import exact_copies
 from tickfold.llm.histogram_sort import histogram_sort
 from tickfold.llm.multi_index import nearest
+from tickfold.llm.periodic_runs import periodic_runs, planted, run_digest
 from tickfold.llm.prefix_doubling import digest, repeats
 from tickfold.llm.quality_rules import RULES, STOP_WORDS, quality_rules
 from tickfold.llm.raking import form_topic, mix
@@ -131,6 +134,20 @@ def op10_prefix_doubling(spark: SparkSession, d: str) -> DataFrame:
     return digest(repeats(table(spark, d, "documents")))
 
 
+def op11_periodic_runs(spark: SparkSession, d: str) -> DataFrame:
+    """Every tenth document, by a hash of its id, is made periodic from some word on."""
+    text = planted(F.col("doc_id"), F.coalesce(F.col("text"), F.lit("")))
+    return run_digest(periodic_runs(table(spark, d, "documents"), text=text))
+
+
+def op12_heavy_copies(spark: SparkSession, d: str) -> DataFrame:
+    return exact_copies(table(spark, d, "documents"))
+
+
+def op13_filter_audit(spark: SparkSession, d: str) -> DataFrame:
+    return audit(failure_cells(table(spark, d, "documents"), table(spark, d, "labels")))
+
+
 _W = "regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')"
 
 _OP4 = f"""WITH d AS (SELECT doc_id, source, lang, coalesce(text, '') AS t,
@@ -174,6 +191,40 @@ _OP6 = f"""WITH a AS (SELECT doc_id, coalesce(text, '') AS t, {_W} AS w,
  f AS (SELECT *, n_words < 20 OR n_repeat_words * 100 > n_words * 30 AS base_failed FROM m)
  SELECT * EXCLUDE (one), NOT base_failed AND {_rules_sql()} AS kept FROM f"""
 
+_OP12 = """WITH h AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''),
+ '[\\x20\\x09-\\x0D]+', ' ', 'g')) AS text_sha256 FROM documents)
+ SELECT doc_id, min(doc_id) OVER (PARTITION BY text_sha256) AS keep_id,
+ count(*) OVER (PARTITION BY text_sha256) AS group_size,
+ doc_id = min(doc_id) OVER (PARTITION BY text_sha256) AS kept, text_sha256 FROM h"""
+
+_OP13 = f"""WITH w AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, {_W} AS w
+ FROM documents),
+ l AS (SELECT doc_id, max(CAST(quality = 1 AS INT)) AS good, max(CAST(toxic = 1 AS INT)) AS toxic
+ FROM labels GROUP BY doc_id),
+ m AS (SELECT part, CAST(len(w) < 100 AS INT) + 2 * CAST(100 * len(list_distinct(w)) < 80 * len(w) AS INT)
+ + 4 * CAST(100 * len(regexp_extract_all(t, '[A-Z]')) > 10 * length(t) AS INT)
+ + 8 * CAST(regexp_matches(t, '[#$%&*|]') AS INT)
+ + 16 * CAST(doc_id > min(doc_id) OVER (PARTITION BY t) AS INT) AS mask,
+ coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic FROM w LEFT JOIN l USING (doc_id)),
+ c AS (SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM m GROUP BY 1, 2),
+ f(x, b) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+ o AS (SELECT p.x || q.x || r.x || s.x || u.x AS filter_order, [p.b, q.b, r.b, s.b, u.b] AS bits
+ FROM f p, f q, f r, f s, f u WHERE p.b + q.b + r.b + s.b + u.b = 31 AND p.b | q.b | r.b | s.b | u.b = 31),
+ z AS (SELECT filter_order, CAST(step AS INT) AS step, bits[step] AS bit,
+ CAST(coalesce(list_sum(bits[1:step - 1]), 0) AS INT) AS before FROM o, range(1, 6) t(step)),
+ a AS (SELECT part, filter_order, step, bit,
+ coalesce(sum(n) FILTER (mask & (before + bit) = 0), 0) AS kept,
+ coalesce(sum(n) FILTER (mask & before = 0 AND mask & bit > 0), 0) AS removed,
+ coalesce(sum(n) FILTER (mask & before > 0 AND mask & bit > 0), 0) AS redundant,
+ coalesce(sum(n) FILTER (mask = bit), 0) AS unique_fails,
+ coalesce(sum(good) FILTER (mask & before = 0 AND mask & bit > 0), 0) AS good_lost,
+ coalesce(sum(toxic) FILTER (mask & before = 0 AND mask & bit > 0), 0) AS toxic_lost
+ FROM c, z GROUP BY ALL)
+ SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+ CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+ CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+ CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley FROM a"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -187,6 +238,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_secret_scan,
         op9_best_fit,
         op10_prefix_doubling,
+        op11_periodic_runs,
+        op12_heavy_copies,
+        op13_filter_audit,
     )
 }
-ORACLES: dict[str, str] = {"op4_token_counts": _OP4, "op6_quality_rules": _OP6}
+ORACLES: dict[str, str] = {
+    "op4_token_counts": _OP4,
+    "op6_quality_rules": _OP6,
+    "op12_heavy_copies": _OP12,
+    "op13_filter_audit": _OP13,
+}
