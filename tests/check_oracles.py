@@ -14,7 +14,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 import __spark_entry__ as entry  # noqa: E402
 from tickfold.session import local_session  # noqa: E402
 
-TABLES = ["events", "supplier", "documents", "embeddings"]
+TABLES = ["events", "supplier", "documents", "embeddings", "labels"]
 
 
 def tables(sf_dir: str) -> duckdb.DuckDBPyConnection:
