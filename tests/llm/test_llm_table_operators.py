@@ -217,3 +217,78 @@ def test_pipeline_stages(spark, docs):
 def test_pipeline_runs_on_a_table(spark):
     out = corpus_pipeline.run(spark, FOLDER)
     assert out.count() > 50
+
+
+def raked(cells, powers):
+    """Plain-Python raking until nothing moves, for cells {(source, lang, topic): tokens}."""
+    axes = list(powers)
+    targets = []
+    for i, d in enumerate(axes):
+        own = {}
+        for key, n in cells.items():
+            own[key[i]] = own.get(key[i], 0) + n
+        own = {v: n ** powers[d] for v, n in own.items()}
+        targets.append({v: n / sum(own.values()) for v, n in own.items()})
+    weight = {k: float(n) for k, n in cells.items()}
+    for _ in range(400):
+        for i in range(len(axes)):
+            mass = {}
+            for key, w in weight.items():
+                mass[key[i]] = mass.get(key[i], 0) + w
+            weight = {k: w * targets[i][k[i]] / mass[k[i]] for k, w in weight.items()}
+    return weight
+
+
+def mixture_rows(n=900):
+    rng = np.random.default_rng(5)
+    rows = []
+    for i in range(n):
+        source = ["hot", "b", None][int(rng.choice(3, p=[0.7, 0.2, 0.1]))]
+        lang = ["en", "de", "fr"][int(rng.integers(3))]
+        rows.append((i, source, lang, ["x", "y"][int(rng.integers(2))], int(rng.integers(0, 500))))
+    return rows
+
+
+@pytest.mark.parametrize("share", [0.2, 0.75, 1.0])
+def test_mix_equals_plain_raking(spark, share):
+    rows = [*mixture_rows(), (-1, "rare", "en", "x", 20)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, lang string, topic string, n_tokens long")
+    powers = {"source": 0.8, "lang": 0.9, "topic": 0.9}
+    out = {r["doc_id"]: r for r in mix(df, powers, share=share).collect()}
+    cells = {}
+    for _, s, lang, t, n in rows:
+        cells[s, lang, t] = cells.get((s, lang, t), 0) + n
+    weight, total = raked(cells, powers), sum(cells.values())
+    low, high = 0.0, 1e12
+    for _ in range(200):  # the factor by bisection
+        factor = (low + high) / 2
+        low, high = (factor, high) if sum(min(n, factor * weight[k]) for k, n in cells.items()) < share * total else (low, factor)
+    for i, s, lang, t, _ in rows:
+        want = min(1.0, high * weight[s, lang, t] / cells[s, lang, t])
+        assert out[i]["probability"] == pytest.approx(want, abs=1e-4)
+        draw = int(cases.hashlib.md5(str(i).encode()).hexdigest()[:13], 16) / 16**13
+        assert out[i]["sampled"] == (draw < out[i]["probability"])
+        assert out[i]["gap"] <= 1e-6
+    kept = sum(r["n_tokens"] * r["probability"] for r in out.values())
+    assert kept == pytest.approx(share * total, rel=1e-3)
+
+
+def test_contradictory_targets_show_their_gap(spark):
+    """All of one language in one source of its own: both targets cannot be met."""
+    rows = [r for r in mixture_rows() if r[1] == "hot"]
+    rows += [(10_000 + i, "only", "es", "x", 30) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, lang string, topic string, n_tokens long")
+    out = mix(df, {"source": 0.5, "lang": 0.9, "topic": 0.9}).collect()
+    assert len(out) == len(rows) and out[0]["gap"] > 0.01
+
+
+def test_best_fit_deals_out_equal_rows(spark, monkeypatch):
+    from tickfold.llm import best_fit as bf
+
+    monkeypatch.setattr(bf, "BLOCK_PIECES", 500)
+    monkeypatch.setattr(bf, "COPIES_AT_ONCE", 100)
+    same = spark.range(1900).selectExpr("CAST(NULL AS LONG) AS doc_id", "30 AS n_tokens", "'x' AS `a.b`")
+    others = spark.range(600).selectExpr("IF(id < 300, 7, id) AS doc_id", "30 AS n_tokens", "'x' AS `a.b`")
+    out = best_fit(same.unionAll(others)).toPandas()
+    assert len(out) == 2500 and out.doc_id.isna().sum() == 1900 and (out.doc_id == 7).sum() == 300
+    assert (out.bin_id // 2**32).value_counts().max() < 650

@@ -9,8 +9,9 @@ hold, given all pieces that are left and fit. In the end each sequence shrinks t
 permitted length of its contents.
 
 Defined cases: a null or negative count is 0; a document without tokens is one empty piece in
-some sequence; repeated rows are packed each; ties go by id and piece, so a repeated run packs
-alike; an empty table gives no rows; other columns are ignored.
+some sequence; documents of any length are cut; null ids and repeated rows are packed each; ties
+go by id, piece and copy, so a repeated run packs alike; an empty table gives no rows; other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -71,6 +72,22 @@ def pack(sizes: np.ndarray, lengths: tuple[int, ...], overhead: int = OVERHEAD):
     return bins, starts, final[bins] if len(bins) else np.zeros(0, np.int64)
 
 
+COPIES_AT_ONCE = 10_000
+
+
+def _copies(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` (doc_id, n) with ``copy``, a number among equal rows. Equal rows are
+    counted where they are, and the counts are dealt out again in shares of bounded size."""
+    counted = docs.groupBy("doc_id", "n").agg(F.count("*").alias("rows"))
+    share = F.floor((F.col("rows") - 1) / COPIES_AT_ONCE)
+    shares = counted.select(
+        "doc_id", "n", "rows", F.explode(F.sequence(F.lit(0).cast("long"), share)).alias("share")
+    ).repartition("doc_id", "n", "share")
+    first = F.col("share") * COPIES_AT_ONCE
+    after = F.least(F.col("rows"), first + COPIES_AT_ONCE) - 1
+    return shares.select("doc_id", "n", F.explode(F.sequence(first, after)).alias("copy"))
+
+
 def best_fit(
     df: DataFrame,
     lengths: tuple[int, ...] = LENGTHS,
@@ -85,31 +102,35 @@ def best_fit(
     n = F.greatest(F.coalesce(count.cast("long"), F.lit(0)), F.lit(0))
     docs = df.select(F.col(doc_id).cast("long").alias("doc_id"), n.alias("n"))
     last = F.greatest(F.floor((F.col("n") - 1) / longest), F.lit(0)).cast("int")
-    pieces = docs.select("doc_id", "n", F.explode(F.sequence(F.lit(0), last)).alias("piece"))
+    pieces = _copies(docs).select(
+        "doc_id", "n", "copy", F.explode(F.sequence(F.lit(0), last)).alias("piece")
+    )
     first = F.col("piece").cast("long") * longest
+    # A copy of a row is told apart by its number, so that equal rows are dealt out too.
+    spread = F.xxhash64("doc_id", "n", "copy", "piece")
     pieces = pieces.select(
         "doc_id",
         "piece",
         first.alias("first_token"),
         F.least(F.col("n") - first, F.lit(longest)).cast("int").alias("n_tokens"),
+        "copy",
+        spread.alias("spread"),
     )
-    blocks = max(1, -(-docs.agg(F.sum(last + 1)).first()[0] // BLOCK_PIECES)) if docs.take(1) else 1
+    blocks = max(1, -(-(docs.agg(F.sum(last + 1)).first()[0] or 0) // BLOCK_PIECES))
 
     def packed(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         whole = pd.concat(list(parts), ignore_index=True)
         for block, rows in whole.groupby("block"):
             rows = rows.sort_values(
-                ["n_tokens", "doc_id", "piece"], ascending=[False, True, True]
+                ["n_tokens", "doc_id", "piece", "copy"], ascending=[False, True, True, True]
             )
             bins, starts, final = pack(rows["n_tokens"].to_numpy(np.int64), lengths)
             yield rows.assign(
                 bin_id=(int(block) << 32) + bins, bin_start=starts, capacity=final
-            ).drop(columns="block")
+            ).drop(columns=["block", "copy", "spread"])
 
     def one(rows: pd.DataFrame) -> pd.DataFrame:
         return next(packed(iter([rows])))
 
-    # The hash takes an id and a piece, so neither a long document nor repeated ids that fit in
-    # a block's share make a block large.
-    block = F.pmod(F.xxhash64("doc_id", "piece"), F.lit(blocks)).cast("long")
+    block = F.pmod("spread", F.lit(blocks)).cast("long")
     return pieces.withColumn("block", block).groupBy("block").applyInPandas(one, SCHEMA)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +41,50 @@ def utf8(text: Column) -> Column:
     return F.coalesce(text, F.lit(""))
 
 
+def settled(df: DataFrame, **columns: Column) -> DataFrame:
+    """``df`` with further columns, worked out once for each row: a generator stands between
+    them and what reads them, which Spark would else write out again at each use."""
+    made = F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))
+    return df.select("*", F.explode(made).alias("_settled")).select("*", "_settled.*").drop("_settled")
+
+
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value worked out once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+RUNNING_BLOCK = 256
+
+
+def running(values: Column, fold: Callable[[Column, Column], Column], zero: int = 0) -> Column:
+    """The fold of an array of integers up to each element. Blocks are folded, then what comes
+    before each block: growing one array over all elements would copy it for each of them."""
+
+    def last(a: Column) -> Column:
+        return F.coalesce(F.get(a, F.size(a) - 1), F.lit(zero))
+
+    def grown(a: Column) -> Column:
+        none = F.array().cast("array<int>")
+        return F.aggregate(a, none, lambda acc, x: F.concat(acc, F.array(fold(last(acc), x))))
+
+    def joined(blocks: Column) -> Column:
+        ends = F.concat(F.array(F.lit(zero)), grown(F.transform(blocks, last)))
+        return F.flatten(
+            F.zip_with(
+                blocks,
+                F.slice(ends, 1, F.size(blocks)),
+                lambda block, before: F.transform(block, lambda x: fold(before, x)),
+            )
+        )
+
+    def folded(v: Column) -> Column:
+        at = F.sequence(F.lit(0), F.floor((F.size(v) - 1) / RUNNING_BLOCK).cast("int"))
+        pieces = F.transform(at, lambda b: F.slice(v, b * RUNNING_BLOCK + 1, RUNNING_BLOCK))
+        return F.when(F.size(v) > 0, bound(F.transform(pieces, grown), joined)).otherwise(v)
+
+    return bound(values, folded)
+
+
 def groups(
     batches: Iterator[pa.RecordBatch], key: str
 ) -> Iterator[tuple[int, pa.RecordBatch, bool]]:

@@ -7,8 +7,8 @@ a wanted boundary, or too many rows for one task, are probed again, 256 times fi
 splitter is within tolerance the rows are exchanged once, by final range, and numbered.
 
 Defined cases: null text counts no bytes and has checksum 0; a null id is an id of its own;
-repeated rows stay repeated and get slots of their own; an empty table gives no rows; other
-columns are ignored.
+texts of any length are one row; repeated rows stay repeated and get slots of their own; ties
+in the key go by id; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -68,6 +68,8 @@ def _splitters(ranges: list[Range], shards: int, tolerance: float):
     for r in ranges:
         edges.append(edges[-1] + r.size)
     total, coarse, cuts = edges[-1], set(), []
+    if not ranges:
+        return cuts, coarse
     for i in range(1, shards):
         want = total * i / shards
         at = min(bisect_right(edges, want), len(ranges)) - 1
@@ -140,13 +142,3 @@ def _numbered(keyed: DataFrame, ranges: list[Range], probed: list, cuts: list[in
         .withColumn("slot", F.col("first_slot") + F.row_number().over(order) - 1)
         .select("doc_id", "size", "text_crc32", "shard", "slot")
     )
-
-
-def write_shards(df: DataFrame, placed: DataFrame, path: str, doc_id: str = "doc_id") -> None:
-    """The documents as files, a folder per shard, several files for a large one."""
-    chosen = placed.select(F.col("doc_id").alias(doc_id), "shard", "slot")
-    kept = df.select([c for c in df.columns if c not in ("shard", "slot")])
-    joined = kept.join(chosen, doc_id)
-    joined.repartition("shard", F.pmod(F.xxhash64(doc_id), F.lit(16))).write.partitionBy(
-        "shard"
-    ).parquet(path)

@@ -4,8 +4,9 @@ Each rule bounds one measure. All measures and the verdict are built-in expressi
 row, so the whole filter is one scan without a shuffle.
 
 Defined cases: null and empty texts have no words, fail the base rule and every ratio of them
-is 0; texts of any length are measured whole; repeated rows are judged alike; an empty table
-gives no rows; other columns are ignored.
+is 0; texts of any length are measured whole, and no rule has an upper bound on length; a value
+equal to a bound passes; repeated rows are judged alike; an empty table gives no rows; other
+columns are ignored by ``quality_rules`` and kept by ``passing``.
 """
 
 from __future__ import annotations
@@ -43,7 +44,7 @@ class Rule:
 
 #: Ratios are per hundred; a row passes if it passes them all.
 RULES = (
-    Rule("n_words", "one", 1, low=20, high=1_000_000),
+    Rule("n_words", "one", 1, low=20),
     Rule("word_chars", "n_words", 10, low=25, high=120),  # mean word length 2.5 to 12
     Rule("n_symbols", "n_words", low=0, high=30),
     Rule("n_alpha_words", "n_words", low=70),

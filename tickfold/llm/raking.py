@@ -2,15 +2,21 @@
 
 Token sums per (source, language, topic) cell are raked: each pass scales the cells of every
 source, then of every language, then of every topic, so that the sums meet the targets, until
-all three fit. A cell's weight per token, over the largest one, is the chance of its documents,
-so that the expected tokens of the sample have the target shares and no chance exceeds 1.
+all three fit. Targets may contradict each other, as when one source alone has a language; the
+passes then end when the largest gap stops falling. What is left of it is the column ``gap``.
 
-Only the table of cells is iterated; it is written after each few passes. A chance is drawn from
-a hash of the id, so a repeated run, or a lost executor, picks the same documents.
+The sample is to hold a share of all tokens, dealt to cells by weight. A cell that is due more
+tokens than it has is taken whole, and what it lacks is dealt to the others, so a small cell never
+shrinks the sample. ``rate`` is the number of times that a document is due, and its chance is the
+rate, 1 at most. Without a share the sample is the largest whose expected tokens have the target
+shares exactly, with no rate above 1; one rare cell can make that small. A chance is drawn from a hash of the id, so a repeated run, or a lost executor, picks the same documents.
+
+Only the table of cells is iterated; it is written after each few passes.
 
 Defined cases: null source, language or topic is a value of its own; documents without tokens
-weigh nothing and keep the chance of their cell, a cell without tokens has chance 0; repeated
-rows are drawn alike; an empty table gives no rows; other columns are ignored.
+(null, zero or negative counts) weigh nothing and keep the chance of their cell, a cell without
+tokens has chance 0; documents of any length are drawn whole; repeated rows are drawn alike; an
+empty table gives no rows; other columns are ignored, but for the one to carry.
 """
 
 from __future__ import annotations
@@ -24,8 +30,9 @@ from tickfold.llm.common import written
 
 DIMENSIONS = ("source", "lang", "topic")
 PASSES_PER_JOB = 4
-MAX_JOBS = 8
 TOLERANCE = 1e-6
+#: The passes go on while a job brings the largest gap below this share of what it was.
+STILL_FALLING = 0.98
 DRAW_DIGITS = 13  # hex digits of the md5 of the id that make the draw
 
 
@@ -50,14 +57,15 @@ def with_targets(cells: DataFrame, powers: dict[str, float]) -> DataFrame:
 
 
 def rake(cells: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
-    """Cells with ``weight``; they need ``tokens`` and the targets of every dimension."""
+    """Cells with ``weight`` and ``gap``, the largest distance of a value's weight from its
+    target; they need ``tokens`` and the targets of every dimension."""
 
     def fitted(d: str, c: DataFrame) -> DataFrame:
         mass = F.sum("weight").over(Window.partitionBy(d))
         return c.withColumn("weight", F.col("weight") * F.col(f"target_{d}") / mass)
 
-    out = cells.withColumn("weight", F.col("tokens").cast("double"))
-    for _ in range(MAX_JOBS):
+    out, before = cells.withColumn("weight", F.col("tokens").cast("double")), float("inf")
+    while True:
         for _ in range(PASSES_PER_JOB):
             out = reduce(lambda c, d: fitted(d, c), DIMENSIONS, out)
         out = written(out, "raked")
@@ -68,9 +76,31 @@ def rake(cells: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
             for d in DIMENSIONS
         ]
         worst = reduce(DataFrame.unionAll, gaps).agg(F.max("gap")).first()[0]
-        if worst is None or worst <= tolerance:
-            break
-    return out
+        if worst is None or worst <= tolerance or worst > before * STILL_FALLING:
+            return out.withColumn("gap", F.lit(worst).cast("double"))
+        before = worst
+
+
+def tokens_per_weight(cells: DataFrame, share: float | None) -> float:
+    """The factor that makes weights tokens, such that cells due more than they have and the
+    others together have the wanted share. Newton's method on a rising, concave sum: every
+    round takes more cells whole, until none is added. Without a share: the largest factor that
+    gives no cell more than it has."""
+    if share is None:
+        return cells.agg(F.min(F.col("tokens") / F.col("weight"))).first()[0] or 0.0
+    total = cells.agg(F.sum("tokens")).first()[0] or 0
+    factor, whole = 0.0, -1
+    while True:
+        full = F.lit(factor) * F.col("weight") >= F.col("tokens")
+        now = cells.agg(
+            F.count_if(full).alias("n"),
+            F.sum(F.when(full, F.col("tokens"))).alias("tokens"),
+            F.sum(F.when(~full, F.col("weight"))).alias("weight"),
+        ).first()
+        if now["n"] == whole or not now["weight"]:
+            return factor
+        whole = now["n"]
+        factor = max(factor, (share * total - (now["tokens"] or 0)) / now["weight"])
 
 
 #: Cells up to this number (a few MB) are broadcast to the documents, more are joined by shuffle.
@@ -84,21 +114,24 @@ def mix(
     tokens: str = "n_tokens",
     seed: str = "",
     carry: str | None = None,
+    share: float | None = None,
 ) -> DataFrame:
-    """doc_id, the three dimensions, n_tokens, probability and sampled, and the column named
-    by ``carry``."""
+    """doc_id, the three dimensions, n_tokens, probability, sampled, rate and gap, and the
+    column named by ``carry``."""
     docs = df.select(
         F.col(doc_id).cast("long").alias("doc_id"),
         *[F.col(d).cast("string").alias(d) for d in DIMENSIONS],
-        F.col(tokens).cast("long").alias("n_tokens"),
+        F.greatest(F.coalesce(F.col(tokens).cast("long"), F.lit(0)), F.lit(0)).alias("n_tokens"),
         *([F.col(carry)] if carry else []),
     )
     cells = docs.groupBy(*DIMENSIONS).agg(F.sum("n_tokens").alias("tokens"))
     cells = written(cells.where("tokens > 0"), "cells")
-    rate = F.col("weight") / F.col("tokens")
-    raked = rake(with_targets(cells, powers)).withColumn("rate", rate)
-    rates = raked.join(raked.agg(F.max("rate").alias("top"))).select(
-        *[F.col(d).alias(f"_{d}") for d in DIMENSIONS], (F.col("rate") / F.col("top")).alias("p")
+    raked = rake(with_targets(cells, powers))
+    factor = tokens_per_weight(raked, share)
+    rates = raked.select(
+        *[F.col(d).alias(f"_{d}") for d in DIMENSIONS],
+        (F.lit(factor) * F.col("weight") / F.col("tokens")).alias("rate"),
+        "gap",
     )
     if cells.count() <= BROADCAST_CELLS:
         rates = F.broadcast(rates)
@@ -107,7 +140,8 @@ def mix(
     )
     return (
         docs.join(rates, same, "left")
-        .withColumn("probability", F.coalesce(F.col("p"), F.lit(0.0)))
+        .withColumn("rate", F.coalesce(F.col("rate"), F.lit(0.0)))
+        .withColumn("probability", F.least(F.col("rate"), F.lit(1.0)))
         .withColumn("sampled", draw(F.col("doc_id"), seed) < F.col("probability"))
         .select(
             "doc_id",
@@ -115,6 +149,8 @@ def mix(
             "n_tokens",
             "probability",
             "sampled",
+            "rate",
+            "gap",
             *([carry] if carry else []),
         )
     )
