@@ -10,9 +10,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tickfold.llm.best_fit import best_fit
 from tickfold.llm.chosen_path import near_duplicates
-from tickfold.llm.common import table, words, written
+from tickfold.llm.common import settled, table, words, written
 from tickfold.llm.quality_rules import passing
-from tickfold.llm.queries import POWERS
+from tickfold.llm.queries import POWERS, SAMPLE_SHARE
 from tickfold.llm.raking import form_topic, mix
 from tickfold.llm.secret_scan import masked, with_spans
 
@@ -35,11 +35,13 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with every secret masked and ``n_chars`` counted again where it is."""
-    found = with_spans(docs)
-    text = masked(F.col("row.text"), F.col("found"))
-    count = F.when(F.size("found") > 0, F.length(text).cast("long")).otherwise(F.col("row.n_chars"))
-    changed = {"text": text, "n_chars": count}
-    return found.select(*[changed.get(c, F.col(f"row.{c}")).alias(c) for c in docs.columns])
+    found = settled(with_spans(docs), clean=masked(F.col("row.text"), F.col("found")))
+    count = F.length("clean").cast(docs.schema["n_chars"].dataType)
+    changed = {
+        "text": F.col("clean"),
+        "n_chars": F.when(F.size("found") > 0, count).otherwise(F.col("row.n_chars")),
+    }
+    return found.select(*[changed.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,9 +52,9 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         "lang",
         form_topic(F.col("text")).alias("topic"),
         F.size(words(F.col("text"))).alias("n_tokens"),
-        F.struct(*docs.columns).alias("row"),
+        F.struct(*[F.col(f"`{c}`").alias(c) for c in docs.columns]).alias("row"),
     )
-    return mix(counted, POWERS, carry="row").where("sampled").select("row.*")
+    return mix(counted, POWERS, carry="row", share=SAMPLE_SHARE).where("sampled").select("row.*")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
