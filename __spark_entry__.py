@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import datetime as dt
 import functools
-import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -27,7 +26,13 @@ from tickfold.sources.events import (  # noqa: E402
     wide_rows,
     wide_text_rows,
 )
-from tickfold.streaming import read_runs, start_count_window  # noqa: E402
+from tickfold.streaming import (  # noqa: E402
+    read_runs,
+    read_stateful_runs,
+    start_count_window,
+    start_page_stream,
+    start_stateful_runs,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -523,32 +528,92 @@ def incremental_run(spark: SparkSession, d: str) -> DataFrame:
     return sink.read(spark)
 
 
-@_query(f"WITH {_c('millisecond')} {_sink('c WHERE page_id < 5')}")
+@_query(f"WITH {_c('millisecond')} {_sink()}")
 def incremental_run_raw(spark: SparkSession, d: str) -> DataFrame:
-    """Five pages of the loop over ticks a few milliseconds apart, in rounds of two."""
-    sink = src.FileTable(shared_folder(spark, "records")).create(spark)
-    wide = wide_rows(spark, d, "millisecond")
-    run_incremental(spark, wide, sink, CELLS, pages_per_round=2, max_batches=5)
-    return sink.read(spark)
+    """The loop over ticks a few milliseconds apart, stopped after seven pages and run again
+    to the end of the table."""
+    sink = src.LoggedSink(shared_folder(spark, "records"))
+    path, wide = shared_folder(spark, "wide"), wide_rows(spark, d, "millisecond")
+    wide.repartitionByRange("row_key").sortWithinPartitions("row_key").write.parquet(path)
+    stored = src.full_scan(spark, path, schema=wide.schema)
+    run_incremental(spark, stored, sink, CELLS, pages_per_round=4, max_batches=7)
+    report = run_incremental(
+        spark, stored, sink, CELLS, pages_per_round=200, max_batches=sys.maxsize
+    )
+    assert report.status == "not enough data", report
+    return sink.records(spark)
+
+
+@_query(f"""WITH {_c('hour')}, g AS (SELECT page_id, chunk_idx, max(ms) AS due FROM c GROUP BY 1, 2),
+ h AS (SELECT min(page_id * 1000 + chunk_idx) AS first FROM g WHERE due > {AS_OF}),
+ x AS (SELECT c.*, coalesce(page_id * 1000 + chunk_idx >= first, false) AS later,
+  page_id = first // 1000 AS read FROM c, h)
+ SELECT 'due' AS phase, sensor_id, ms, value FROM x WHERE NOT later
+ UNION ALL SELECT 'held', sensor_id, ms, value FROM x WHERE later AND read
+ UNION ALL SELECT 'all', sensor_id, ms, value FROM x""")
+def incremental_run_held(spark: SparkSession, d: str) -> DataFrame:
+    """The loop on two clocks: at the first, run groups up to the first that is not due are
+    written and the rest of its page is stored; at the second a new run writes the rest."""
+    sink = src.LoggedSink(shared_folder(spark, "records"))
+    wide = wide_rows(spark, d, "hour")
+    run_incremental(spark, wide, sink, CELLS, max_batches=sys.maxsize, clock=lambda: AS_OF / 1000)
+    then = sink.latest(spark)
+    report = run_incremental(spark, wide, sink, CELLS, pages_per_round=50, max_batches=sys.maxsize)
+    assert report.status == "not enough data", report
+
+    def phase(name: str, rows: DataFrame, ms: Column) -> DataFrame:
+        value = F.col("value").cast("long").alias("value")
+        return rows.select(F.lit(name).alias("phase"), "sensor_id", ms.alias("ms"), value)
+
+    date = fn.millis_of("date")
+    return (
+        phase("due", sink.read(spark, "records", then), date)
+        .unionAll(phase("held", sink.read(spark, "held", then), F.col("ms")))
+        .unionAll(phase("all", sink.records(spark), date))
+    )
+
+
+@_query(f"WITH {_c()} {_sink()}")
+def incremental_stream(spark: SparkSession, d: str) -> DataFrame:
+    """The page loop as a stream: rows arrive in three deliveries, the query restarts from its
+    checkpoint for each and writes the pages that are full; the short last page goes at the end."""
+    path = shared_folder(spark, "arrivals")
+    sink = src.LoggedSink(shared_folder(spark, "records"))
+    wide = wide_rows(spark, d)
+    keyed = wide.withColumn("ms", fn.key_millis("row_key"))
+    ends = keyed.agg(F.min("ms").alias("a"), F.max("ms").alias("b")).first()
+    third = max(1, ((ends["b"] or 0) - (ends["a"] or 0)) // 3 + 1)
+    arrival = fn.int_div(F.col("ms") - (ends["a"] or 0), third)
+    for delivery in range(3):
+        rows = keyed.where(arrival == delivery).drop("ms")
+        rows.write.mode("append").parquet(f"{path}/in")
+        start_page_stream(
+            spark, f"{path}/in", wide.schema, sink, CELLS, f"{path}/checkpoint",
+            available_now=True, pages_per_round=50,
+        ).awaitTermination()
+    report = run_incremental(
+        spark, src.full_scan(spark, f"{path}/in", schema=wide.schema), sink, CELLS
+    )
+    assert report.status == "not enough data" and report.batches <= 1, report
+    return sink.records(spark)
 
 
 @_query(f"""WITH {_c()} SELECT 'written' AS kind, sensor_id, ms, value FROM c WHERE sensor_id < 4
  UNION ALL SELECT 'rejected', NULL, ms, value FROM c WHERE sensor_id >= 4""")
 def incremental_run_rejects(spark: SparkSession, d: str) -> DataFrame:
-    """The loop where half of the qualifiers have no numeric id: their means go to a table of
-    rejects, and no page is read twice."""
-    sink = src.FileTable(shared_folder(spark, "records")).create(spark)
-    schema = op.mark_sink_rows(_means(spark, d)).schema
-    bad = src.FileTable(shared_folder(spark, "rejects"), schema=schema).create(spark)
+    """The loop where half of the qualifiers have no numeric id: their means are committed as
+    rejects, and no page is read twice, also by the runs after the first."""
+    sink = src.LoggedSink(shared_folder(spark, "records"))
     names = {f"sensor{i}": f"pump{i}" for i in range(4, 8)}
     wide = wide_rows(spark, d).withColumnsRenamed(names)
     cells = [names.get(c, c) for c in CELLS]
-    run_incremental(
-        spark, wide, sink, cells, pages_per_round=50, max_batches=sys.maxsize, rejects=bad
-    )
+    for batches in (1, sys.maxsize, sys.maxsize):
+        run_incremental(spark, wide, sink, cells, pages_per_round=50, max_batches=batches)
+    bad = sink.read(spark, "rejects")
+    assert sink.latest(spark).state["rejected"] == bad.count()
     columns = ["sensor_id", fn.millis_of("date").alias("ms"), F.col("value").cast("long").alias("value")]
-    good = sink.read(spark).select(F.lit("written").alias("kind"), *columns)
-    return good.unionAll(bad.read(spark).select(F.lit("rejected"), *columns))
+    good = sink.records(spark).select(F.lit("written").alias("kind"), *columns)
+    return good.unionAll(bad.select(F.lit("rejected"), *columns))
 
 
 def _shared(columns: int) -> str:
@@ -615,8 +680,8 @@ def dim_roundtrip(spark: SparkSession, d: str) -> DataFrame:
  SELECT sensor_id, max(ms) AS ms, CAST(sum(v) // 10 AS BIGINT) AS value FROM x
  GROUP BY sensor_id, i HAVING count(*) = 10""")
 def stream_count_window(spark: SparkSession, d: str) -> DataFrame:
-    """Runs over a stream: the readings arrive in three deliveries, the query restarts
-    from its checkpoint for each."""
+    """Runs over a stream, unfinished ones in Spark's state: the readings arrive in three
+    deliveries, the query restarts from its checkpoint for each."""
     path = shared_folder(spark, "stream")
     readings = long_readings(spark, d, "millisecond")
     ends = readings.agg(F.min("ms").alias("a"), F.max("ms").alias("b")).first()
@@ -625,7 +690,18 @@ def stream_count_window(spark: SparkSession, d: str) -> DataFrame:
     for delivery in range(3):
         readings.where(arrival == delivery).write.mode("append").parquet(f"{path}/in")
         stream = spark.readStream.schema(readings.schema).parquet(f"{path}/in")
-        start_count_window(stream, path, available_now=True).awaitTermination()
+        start_stateful_runs(stream, path, available_now=True).awaitTermination()
+    return read_stateful_runs(spark, path)
+
+
+@_query(_ORACLES["stream_count_window"])
+def stream_count_window_split(spark: SparkSession, d: str) -> DataFrame:
+    """The same where a busy sensor is split by hour and batches carry what is unfinished."""
+    path = shared_folder(spark, "stream")
+    readings = long_readings(spark, d, "millisecond")
+    readings.write.parquet(f"{path}/in")
+    stream = spark.readStream.schema(readings.schema).parquet(f"{path}/in")
+    start_count_window(stream, path, available_now=True).awaitTermination()
     return read_runs(spark, path)
 
 
@@ -639,17 +715,18 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def _optional() -> tuple[dict[str, Query], dict[str, str]]:
     """Queries and SQL of the training-data package, where it and its pipeline are there."""
-    if not importlib.util.find_spec("tickfold.llm"):
+    try:
+        from tickfold.llm import queries as llm
+    except ImportError:
         return {}, {}
-    from tickfold.llm import queries as llm
-
     runs, sql = dict(llm.QUERIES), dict(llm.ORACLES)
-    if importlib.util.find_spec("corpus_pipeline"):
+    try:
         import corpus_pipeline
-
-        runs["pipeline"] = corpus_pipeline.run
-        if corpus_pipeline.ORACLE_SQL:
-            sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    except ImportError:
+        return runs, sql
+    runs["pipeline"] = corpus_pipeline.run
+    if corpus_pipeline.ORACLE_SQL:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
     return runs, sql
 
 

@@ -112,3 +112,20 @@ def test_shared_folder_follows_the_session():
     assert shared_folder(_Session(spark_master="local[2]"), "a")
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_folder(_Session(spark_master="yarn"), "a")
+
+
+def test_part_boundaries_rank_few_keys(spark):
+    """Keys are counted where they are; only those of cells where a part starts are shuffled."""
+    n, per_part = 60_000, 1000
+    ticks = spark.range(n).selectExpr("1700000000000 + id * 97 + (id % 3) AS ms")
+    keys, hours = hour_table(ticks, unique=True, ticks_per_part=per_part)
+    table = part_table(keys, hours)
+    plan = _plan(table)
+    assert not re.search(r"Sort \[hour#\d+L ASC NULLS FIRST, ms#", plan)
+    for exchange in re.findall(r"Exchange hashpartitioning\(hour#\d+L?, cell#[^\n]*\n[^\n]*", plan):
+        assert "partial_" in exchange or "Project" in exchange
+    parts = sorted(tuple(r) for r in table.select("part", "lo", "hi").collect())
+    ms = [r[0] for r in ticks.orderBy("ms").collect()]
+    starts = ms[::per_part]
+    assert [p[1] for p in parts] == starts
+    assert [p[2] for p in parts[:-1]] == [s - 1 for s in starts[1:]]

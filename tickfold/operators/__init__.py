@@ -1,4 +1,4 @@
-from tickfold.operators.gates import min_batch_gate, release_gate
+from tickfold.operators.gates import mark_due, min_batch_gate, release_gate
 from tickfold.operators.pages import assign_pages, known_pages, page_counts
 from tickfold.operators.runs import (
     chunk_groups,
@@ -36,6 +36,7 @@ __all__ = [
     "chunk_tail",
     "drop_bad_cells",
     "known_pages",
+    "mark_due",
     "mark_readings",
     "mark_sink_rows",
     "max_chunks",

@@ -15,8 +15,8 @@ def min_batch_gate(paged: DataFrame, min_rows: int = MIN_PAGE_ROWS) -> DataFrame
     return paged.where(F.col("n_rows") >= min_rows)
 
 
-def release_gate(means: DataFrame, as_of: dt.datetime | str | int) -> DataFrame:
-    """Keep the run groups that may be written at ``as_of``.
+def mark_due(means: DataFrame, as_of: dt.datetime | str | int) -> DataFrame:
+    """Add ``due``: whether the run group of a mean may be written at ``as_of``.
 
     A group (page, run) is due when the clock has reached its latest date. Groups go in
     order, so the first one that is not due holds all later ones. That group is a single
@@ -30,6 +30,9 @@ def release_gate(means: DataFrame, as_of: dt.datetime | str | int) -> DataFrame:
         .agg(F.min(F.struct("page_id", "chunk_idx")).alias("first"))
     )
     first = held.select("first").scalar()
-    return means.where(
-        first.isNull() | (F.struct("page_id", "chunk_idx") < first)
-    )
+    return means.withColumn("due", first.isNull() | (F.struct("page_id", "chunk_idx") < first))
+
+
+def release_gate(means: DataFrame, as_of: dt.datetime | str | int) -> DataFrame:
+    """Keep the run groups that may be written at ``as_of``, see ``mark_due``."""
+    return mark_due(means, as_of).where("due").drop("due")

@@ -7,8 +7,10 @@ task. Here the ordinal is built from pieces whose size is bounded by constructio
 1. Count ticks per hour. Ticks are distinct milliseconds, so an hour holds at most
    3,600,000 of them however the data is distributed; and the key domain has at most
    2.8 million hours, so the running sum over hours is small.
-2. Rank the ticks inside their hour (key column only) and keep those that start a *part*,
-   a fixed number of whole pages. At most ``max_parts`` such ticks exist.
+2. Find the ticks that start a *part*, a fixed number of whole pages; at most ``max_parts``
+   exist. Ticks are counted per *cell*, a stretch of their hour so short that parts have many of
+   them, and ranked only inside the few cells where a part starts. Counts are added up before
+   they are shuffled, so keys are not: only those of the ranked cells.
 3. Send the part boundaries to every task and give each row its part while it is
    scanned. Rows are then shuffled once, by part. Parts hold equally many ticks, so no
    hour, sensor or source can make one of them hot.
@@ -93,16 +95,55 @@ def hour_table(
     return ticks, hours
 
 
+CELLS_PER_PART = 32  # a part has 1,000 ticks or more: few cells, and few ticks in each
+
+
+def _cell_of(ms: str) -> str:
+    """SQL for the number of a key's cell inside its hour, given the ``cell_ms`` of the hour.
+
+    Keys outside the domain, if there are any, are one cell before or after all others."""
+    inside = f"{_in_domain(ms)} % {HOUR_MS} div cell_ms"
+    return f"CASE WHEN {ms} < 0 THEN -1 WHEN {ms} > {MAX_KEY_MS} THEN {HOUR_MS} ELSE {inside} END"
+
+
 def part_table(ticks: DataFrame, hours: DataFrame) -> DataFrame:
     """``part, lo, hi, span, n_ticks, last_hour``: first and last key of every part."""
+    # At most CELLS_PER_PART cells for each part of an hour, whatever its ticks.
+    wide = F.broadcast(
+        hours.selectExpr(
+            "hour", "before", "span", f"{HOUR_MS} div ({CELLS_PER_PART} * n_parts) + 1 AS cell_ms"
+        )
+    )
+    cells = (
+        ticks.join(wide, "hour")
+        .groupBy("hour", F.expr(_cell_of("ms")).alias("cell"))
+        .agg(F.count("*").alias("n"), F.first("before").alias("before"), F.first("span").alias("span"))
+        .selectExpr(
+            "hour",
+            "cell",
+            "n",
+            "span",
+            "before + coalesce(sum(n) OVER (PARTITION BY hour ORDER BY cell"
+            " ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS cell_before",
+        )
+        # A part starts in the cell if a multiple of the span is among its ordinals.
+        .where("(cell_before + n - 1) div span > (cell_before - 1) div span OR cell_before = 0")
+    )
+    # At most one cell for each part.
     starts = (
-        ticks.selectExpr("*", "row_number() OVER (PARTITION BY hour ORDER BY ms) - 1 AS rank")
-        .join(hours, "hour")
-        .where("(before + rank) % span = 0")
+        ticks.join(wide.select("hour", "cell_ms"), "hour")
+        .selectExpr("ms", "hour", f"{_cell_of('ms')} AS cell")
+        .join(F.broadcast(cells.drop("n")), ["hour", "cell"])
+        .selectExpr(
+            "*", "row_number() OVER (PARTITION BY hour, cell ORDER BY ms) - 1 AS rank"
+        )
+        .selectExpr("hour", "ms", "span", "cell_before + rank AS ordinal")
+        .where("ordinal % span = 0")
+        .join(F.broadcast(hours.select("hour", "n_ticks", "last_hour")), "hour")
     )
     # At most max_parts rows.
     return starts.selectExpr(
-        "(before + rank) div span AS part",
+        "ordinal div span AS part",
         "ms AS lo",
         f"coalesce(lead(ms) OVER (ORDER BY ms) - 1, {_LAST}) AS hi",
         "span",

@@ -11,32 +11,24 @@ from __future__ import annotations
 import time
 import uuid
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
-from tickfold.functions import millis_of
+from tickfold.functions import millis_of, timestamp_of
 from tickfold.operators import known_pages, mark_sink_rows, split_marked
 from tickfold.plans.backfill import means_of_pages, source_rows
+from tickfold.plans.logged import RunReport, run_logged
 from tickfold.schema import MAX_BATCHES, MIN_PAGE_ROWS, PAGE_SIZE, RUN_LENGTH
+from tickfold.sources.commits import LoggedSink
 from tickfold.sources.relational import JdbcTable
-from tickfold.sources.tables import FileTable
-from tickfold.sources.wide import key_after, key_until, next_page_ends
-
-
-@dataclass(frozen=True)
-class RunReport:
-    batches: int
-    rounds: int
-    status: str  # "not enough data", "held", "max batches" or "stopped"
-    position: int | None = None  # the key after which a later run may go on
-    rejected: int = 0  # means that could not be written
+from tickfold.sources.tables import FileTable, append_new
+from tickfold.sources.wide import PageFinder, key_after, key_until
 
 
 def run_incremental(
     spark: SparkSession,
     source: DataFrame | Callable[[], DataFrame],
-    sink: FileTable | JdbcTable,
+    sink: FileTable | JdbcTable | LoggedSink,
     cells: Sequence[str] | str,
     *,
     page_size: int = PAGE_SIZE,
@@ -67,15 +59,38 @@ def run_incremental(
     due stay in the source and end the run. ``stop`` is asked between rounds. Means that cannot
     be written are counted, appended to ``rejects`` if given, and stepped over.
     A failing job ends the run with its error; restarting continues from the sink.
+
+    Into a ``LoggedSink`` each round is one commit of records, rejects, bad cells and the read
+    position, so a run that dies leaves nothing behind and a repeated one adds nothing. There a
+    page is read when it is there, and its run groups leave one by one as they fall due: what is
+    not due is stored with the sink, and no further page is read before it has left.
     """
+    if isinstance(sink, LoggedSink):
+        return run_logged(
+            spark,
+            source,
+            sink,
+            cells,
+            page_size=page_size,
+            run_length=run_length,
+            min_rows=min_rows,
+            max_batches=max_batches,
+            pages_per_round=pages_per_round,
+            start_after=start_after,
+            key_order=key_order,
+            clock=clock,
+            stop=stop,
+            **mean_options,
+        )
     whole = page_size % run_length == 0
     if pages_per_round > 1 and not whole:
         raise ValueError("more than one page in a round needs pages of a whole number of runs")
     batches = rounds = rejected = 0
-    position, width = start_after, None
+    position = start_after
+    finder = PageFinder(page_size, key_order, growing=callable(source))
+    pad = sink.precision_ms - 1 if hwm_pad_ms is None else hwm_pad_ms
     if position is None:
         hwm = sink.high_water_ms(spark)
-        pad = sink.precision_ms - 1 if hwm_pad_ms is None else hwm_pad_ms
         position = None if hwm is None else hwm + pad
 
     def report(status: str) -> RunReport:
@@ -86,7 +101,7 @@ def run_incremental(
             return report("stopped")
         df = source() if callable(source) else source
         n_pages = min(pages_per_round, max_batches - batches)
-        found = next_page_ends(df, position, n_pages, page_size, width, key_order=key_order)
+        found = finder.next(df, position, n_pages)
         full = [page for page in found if page[1] >= min_rows]
         if not full:
             return report("not enough data")
@@ -107,7 +122,11 @@ def run_incremental(
         )
         batch, bad = split_marked(marked)
         if isinstance(sink, JdbcTable):
-            sink.append(batch, partitions=1)
+            # A run that died after its append left rows that are not to come twice.
+            known = sink.read(spark)
+            if position is not None:
+                known = known.where(F.col("date") > timestamp_of(F.lit(position - pad)))
+            sink.append(append_new(batch, known), partitions=1)
         else:
             sink.append(batch)
         written = seen.get
@@ -117,7 +136,6 @@ def run_incremental(
         done = last_key
         if (last_size < page_size or not whole) and written["newest"] is not None:
             done = written["newest"]
-        width = 2 * (done - position) if position is not None and done > position else None
         position = done
         batches += len(due)
         rounds += 1

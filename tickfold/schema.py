@@ -25,6 +25,30 @@ SINK_SCHEMA = T.StructType(
     ]
 )
 
+#: The tables of a sink with a log: records and what did not become one.
+LOGGED_SCHEMAS = {
+    "records": SINK_SCHEMA,
+    "rejects": T.StructType([*SINK_SCHEMA.fields, T.StructField("reason", T.StringType(), True)]),
+    "bad_cells": T.StructType(
+        [
+            T.StructField("row_key", T.StringType(), True),
+            T.StructField("qualifier", T.StringType(), True),
+            T.StructField("cell", T.StringType(), True),
+            T.StructField("reason", T.StringType(), True),
+        ]
+    ),
+    # ``page_key`` is the last key of the page that a mean belongs to.
+    "held": T.StructType(
+        [
+            T.StructField("page_key", T.LongType(), True),
+            T.StructField("chunk_idx", T.LongType(), True),
+            T.StructField("ms", T.LongType(), True),
+            T.StructField("value", T.DoubleType(), True),
+            T.StructField("sensor_id", T.IntegerType(), True),
+        ]
+    ),
+}
+
 DIMENSION_SCHEMA = T.StructType(
     [
         T.StructField("sensor_id", T.IntegerType(), True),

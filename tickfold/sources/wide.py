@@ -7,6 +7,8 @@ keys have 13 digits, and it is the form that reaches the file scan as a pushed f
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StructType
 
@@ -133,6 +135,91 @@ def next_page_ends(
     return ends(df)
 
 
+@dataclass(frozen=True)
+class KeyRange:
+    """First and last key and number of rows of a stretch of the table."""
+
+    first: int | None
+    last: int | None
+    rows: int
+
+
+def key_range(
+    df: DataFrame, after: int | None, row_key: str = "row_key", key_order: str = "string"
+) -> KeyRange:
+    """One pass over the key column after a key."""
+    key, _ = _ordered_key(row_key, key_order)
+    row = (
+        key_after(df.select(row_key), after, 0, row_key, key_order)
+        .agg(F.min(key).alias("first"), F.max(key).alias("last"), F.count("*").alias("rows"))
+        .first()
+    )
+    ends = [None if row[c] is None else int(row[c]) for c in ("first", "last")]
+    return KeyRange(*ends, row["rows"])
+
+
+class PageFinder:
+    """Finds the next pages round by round, between two keys each time.
+
+    The range of keys is looked up once, and again past its end when ``growing`` says that the
+    source may have more by then. A round looks at the keys up to a distance in which, going by
+    the density so far, its pages should end, and doubles the distance until they do or the last
+    key is reached. So a sorted source is read in proportion to the pages, whatever its size
+    and its gaps.
+    """
+
+    def __init__(
+        self, page_size: int = PAGE_SIZE, key_order: str = "string", growing: bool = False
+    ) -> None:
+        self.page_size, self.key_order, self.growing = page_size, key_order, growing
+        self.known: KeyRange | None = None
+        self.width: int | None = None
+
+    def next(self, df: DataFrame, after: int | None, n_pages: int = 1) -> list[tuple[int, int]]:
+        """``(last key, rows)`` of the next pages after a key, or from the first one on."""
+        wanted = n_pages * self.page_size
+        found = self._look(df, after, wanted, n_pages)
+        short = sum(n for _, n in found) < wanted
+        if short and self.growing and self.known is not None and self.known.last is not None:
+            more = key_range(df, self.known.last, key_order=self.key_order)
+            if more.rows:
+                first = self.known.first
+                self.known = KeyRange(first, more.last, self.known.rows + more.rows)
+                found = self._look(df, after, wanted, n_pages)
+        return found
+
+    def _look(
+        self, df: DataFrame, after: int | None, wanted: int, n_pages: int
+    ) -> list[tuple[int, int]]:
+        if self.known is None or self.known.last is None:
+            self.known = key_range(df, after, key_order=self.key_order)
+        first, last = self.known.first, self.known.last
+        if first is None or last is None:
+            return []
+        if len(str(first)) != len(str(last)) and self.key_order == "string":
+            # Text order is not that of numbers: no distances between keys.
+            return next_page_ends(df, after, n_pages, self.page_size, key_order=self.key_order)
+        if after is not None and after >= last:
+            return []
+        key, kind = _ordered_key("row_key", self.key_order)
+        low = first - 1 if after is None else max(after, first - 1)
+        rows = df if low >= first else df.where(key >= F.lit(kind(first)))
+        density = (last - first + 1) / self.known.rows
+        width = self.width or max(1, round(2 * wanted * density))
+        while True:
+            high = min(low + width, last)
+            near = rows.where(key <= F.lit(kind(high)))
+            start = None if low < first else low
+            ends = page_ends(near, start, n_pages, self.page_size, 0, key_order=self.key_order)
+            found = [(int(p["last_key"]), p["n_rows"]) for p in ends.orderBy("page_id").collect()]
+            if sum(n for _, n in found) == wanted:
+                self.width = 2 * (found[-1][0] - low)
+                return found
+            if high == last:
+                return found
+            width *= 2
+
+
 def page_per_split(
     df: DataFrame, split: str, page_size: int = PAGE_SIZE, row_key: str = "row_key"
 ) -> DataFrame:
