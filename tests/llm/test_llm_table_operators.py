@@ -292,3 +292,44 @@ def test_best_fit_deals_out_equal_rows(spark, monkeypatch):
     out = best_fit(same.unionAll(others)).toPandas()
     assert len(out) == 2500 and out.doc_id.isna().sum() == 1900 and (out.doc_id == 7).sum() == 300
     assert (out.bin_id // 2**32).value_counts().max() < 650
+
+
+@pytest.mark.parametrize("norms", ["unit", "outlier", "lognormal"])
+def test_recall_with_any_norms(norms):
+    """One block of vectors about clusters: recall over all queries, and of the worst tenth."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(60, 64))[rng.integers(0, 60, 6000)] + rng.normal(size=(6000, 64)) * 0.8
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    if norms == "outlier":
+        x[17] *= 3
+    if norms == "lognormal":
+        x *= np.exp(rng.normal(size=(6000, 1)) * 0.3)
+    queries, ids, recall = np.arange(0, 6000, 40), np.arange(6000), []
+    codes = Codes(x, float(np.linalg.norm(x, axis=1).max()), x[queries])
+    block = Block(ids, x, codes)
+    for q, code in zip(queries, codes.of_queries(x[queries]), strict=True):
+        found, _ = block.nearest(int(q), x[q], code, 20)
+        score = x @ x[q]
+        score[q] = -np.inf
+        recall.append(len({*found} & {*np.lexsort((ids, -score))[:20]}) / 20)
+    assert np.mean(recall) >= 0.95 and np.mean(sorted(recall)[:15]) >= 0.8
+
+
+def test_nearest_over_norm_classes_and_blocks(spark, monkeypatch):
+    from tickfold.llm import multi_index as mi
+
+    monkeypatch.setattr(mi, "BLOCK", 700)
+    monkeypatch.setattr(mi, "CHUNK", 50)
+    rng = np.random.default_rng(9)
+    x = (rng.normal(size=(3000, 24)) * np.exp(rng.normal(size=(3000, 1)) * 0.3)).astype(np.float32)
+    x[7] *= 5
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    got = {}
+    for r in nearest(df, F.col("id") % 20 == 0).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    x, ids, recall = x.astype(np.float64), np.arange(3000), []
+    for q, found in got.items():
+        score = x @ x[q]
+        score[q] = -np.inf
+        recall.append(len(found & {*np.lexsort((ids, -score))[:20].tolist()}) / 20)
+    assert len(got) == 150 and np.mean(recall) >= 0.95 and min(recall) >= 0.6

@@ -1,30 +1,32 @@
 """Nearest neighbours by largest inner product, with multi-index hashing.
 
-Vectors are laid on a sphere, where the inner product is a cosine: each is scaled by the largest
-norm and gets one more component that makes its norm 1, a query gets 0 there. A rotation learned
-from a bounded sample (iterative quantisation) turns a vector into a code of 64 signs, split into
-8 substrings of a byte. Codes are dealt into blocks of bounded size, each with a table per
-substring. If two codes differ in at most r of 64 signs, they differ in at most r // 8 signs of
-some substring, and with r = 8 a + b in at most a of the first b + 1 or a - 1 of the others; so
-probing those bytes finds every code within r. What is found within r is ranked by the exact
-inner product of the original vectors.
-
-The radius is each query's own: from its 20th best score so far follows, by how distance depends
-on cosine in the sample, the radius that holds all but a few in a hundred of better vectors, and
-the probe is repeated with it. The index holds every row; only rotation and that dependence come
-from the sample.
+Vectors are dealt into classes of about equal norm, and those into blocks of bounded size. Inside
+a block vectors are laid on a sphere, where the inner product is a cosine: each is scaled by the
+largest norm and gets one more component that makes its norm 1, a query gets 0 there. A rotation
+learned from a bounded sample of the block (iterative quantisation) turns a vector into a code of
+64 signs, split into 8 substrings of a byte, with a table per substring. If two codes differ in at
+most r of 64 signs, they differ in at most r // 8 signs of some substring, and with r = 8 a + b in
+at most a of the first b + 1 or a - 1 of the others; so probing those bytes finds every code
+within r. What is found within r is ranked by the exact inner product of the original vectors.
+
+The radius is each query's own: from its 20th best score so far follows the radius that holds all
+but a few in a hundred of better vectors, and the probe is repeated with it. How distance depends
+on cosine is fitted to the nearest pairs of sampled queries and sampled vectors of the block, so
+it holds for codes of queries against codes of data, whatever the norms. A block too small for
+that is searched whole. The index holds every row.
 
 The search is exact in what it returns (scores, order, ties by smaller id) and approximate in
-what it finds; the tests measure recall against brute force.
+what it finds; the tests measure recall against brute force, for each query too.
 
 Defined cases: vectors that are null, zero, of another length than the sample's, or hold a null
 or non-finite component take no part, nor do null ids; rows that share an id are all candidates,
-but not for a query of that id; fewer candidates than asked for are all returned; an empty table
-gives no rows; other columns are ignored.
+but not for a query of that id; fewer candidates than asked for are all returned; ties go to the
+smaller id; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -36,7 +38,10 @@ from tickfold.llm.common import groups
 from tickfold.session import ship_package
 
 BITS, PARTS = 64, 8
-SAMPLE = 4096  # rows that the rotation and the radius are learned from
+SAMPLE = 4096  # vectors of a block that the rotation is learned from
+PAIRED = 512, 2048  # queries and vectors whose pairs the radius is learned from
+SMALL = 256  # vectors of a block that is searched whole
+NORM_STEP = 1.2  # the largest norm of a class over its smallest
 ROUNDS = 30
 BLOCK, CHUNK = 8192, 4096  # vectors and queries of a task
 WANTED = 40  # the first radius suits the best of this many vectors of a block
@@ -50,10 +55,16 @@ _BALL = [np.flatnonzero(_POPULATION <= r).astype(np.uint8) for r in range(9)]
 class Codes:
     """The learned rotation, and how far apart codes are at a given cosine."""
 
-    def __init__(self, sample: np.ndarray, top_norm: float, seed: int = 0):
+    def __init__(
+        self,
+        vectors: np.ndarray,
+        top_norm: float,
+        queries: np.ndarray | None = None,
+        seed: int = 0,
+    ):
         self.top_norm = top_norm
         rng = np.random.default_rng(seed)
-        x = self.on_sphere(sample)
+        x = self.on_sphere(vectors[rng.permutation(len(vectors))[:SAMPLE]])
         values, axes = np.linalg.eigh(x.T @ x)
         width = min(BITS, x.shape[1])
         axes = axes[:, np.argsort(-values)[:width]]
@@ -66,26 +77,29 @@ class Codes:
             u, _, v = np.linalg.svd(np.sign(y @ turn).T @ y)
             turn = (u @ v).T
         self.turn = axes @ turn
-        # Each sampled vector against the next few: mean and deviation of the distance by cosine.
-        code, unit = self.code(x), x / np.linalg.norm(x, axis=1, keepdims=True)
-        far, cosine = [], []
-        for shift in range(1, min(len(x), 400)):
-            far.append(_POPULATION[code ^ np.roll(code, shift, 0)].sum(1))
-            cosine.append((unit * np.roll(unit, shift, 0)).sum(1))
-        far = np.concatenate([np.zeros(1), *far])
-        cosine = np.concatenate([np.ones(1), *cosine])
-        angle = np.arccos(np.clip(cosine, -1, 1)) / np.pi
-        close = angle < 0.45
-        # A line through no distance at angle 0, from the pairs that are not unrelated.
-        self.slope = (far * angle)[close].sum() / max((angle**2)[close].sum(), 1e-9)
-        left = far - self.slope * angle
-        scale = np.sqrt(np.maximum(angle * (1 - angle), 1e-9))
-        few = close.sum() < 100
-        self.noise = np.sqrt(BITS) if few else np.sqrt(np.mean((left / scale)[close] ** 2))
-        if few:
-            self.slope = float(BITS)
-        # Where to begin: the cosine that as many pairs exceed as a block has wanted vectors.
-        self.start = self.radius(float(np.quantile(cosine, 1 - WANTED / BLOCK)))
+        self._fit(x, vectors if queries is None else queries, len(vectors), rng)
+
+    def _fit(self, x: np.ndarray, queries: np.ndarray, n: int, rng: np.random.Generator) -> None:
+        """Distance by cosine, a line through the nearest pairs, and the radius to begin with."""
+        some = queries[rng.permutation(len(queries))[: PAIRED[0]]]
+        x = x[: PAIRED[1]]
+        unit = some / np.linalg.norm(some, axis=1, keepdims=True)
+        cosine = unit @ x[:, :-1].T
+        asked, stored = self.of_queries(some), self.code(x)
+        far = np.stack([_POPULATION[stored ^ code].sum(1) for code in asked])
+        alike = (cosine > 1 - 1e-9).ravel()  # a query against itself
+        cosine, far = cosine.ravel()[~alike], far.ravel()[~alike].astype(np.float64)
+        near = np.argsort(-cosine)[: max(200, len(cosine) // 50)]
+        angle = np.arccos(np.clip(cosine[near], -1, 1)) / np.pi
+        if n <= SMALL or len(near) < 200 or np.ptp(angle) == 0:
+            self.slope, self.base, self.noise, self.start = 0.0, float(BITS), 0.0, BITS
+            return
+        # A larger angle is no nearer: the line must not fall.
+        self.slope = max(0.0, float(np.cov(angle, far[near])[0, 1] / np.var(angle)))
+        self.base = float(far[near].mean() - self.slope * angle.mean())
+        self.noise = float(np.std(far[near] - self.base - self.slope * angle))
+        # Where to begin: the cosine that as many vectors of the block exceed as are wanted.
+        self.start = self.radius(float(np.quantile(cosine, max(0.0, 1 - WANTED / n))))
 
     def on_sphere(self, x: np.ndarray) -> np.ndarray:
         x = x / self.top_norm
@@ -101,8 +115,8 @@ class Codes:
 
     def radius(self, cosine: float) -> int:
         angle = np.arccos(min(1.0, max(-1.0, cosine))) / np.pi
-        noise = SPREAD * self.noise * np.sqrt(angle * (1 - angle))
-        return min(BITS, int(np.ceil(self.slope * angle + noise)))
+        reach = self.base + self.slope * angle + SPREAD * self.noise
+        return min(BITS, max(0, int(np.ceil(reach))))
 
 
 class Block:
@@ -156,7 +170,7 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, width)
 
 
-def _search(codes: Codes, width: int, k: int) -> Callable:
+def _search(width: int, k: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
 
@@ -169,6 +183,8 @@ def _search(codes: Codes, width: int, k: int) -> Callable:
             stored, asked = side == 0, side == 1
             if not stored.any() or not asked.any():
                 return
+            top = float(np.sqrt((vectors[stored] ** 2).sum(1).max()))
+            codes = Codes(vectors[stored], top, vectors[asked])
             block = Block(ids[stored], vectors[stored], codes)
             out: list[tuple] = []
             for query, vector, code in zip(
@@ -210,24 +226,31 @@ def nearest(
     square = F.aggregate(
         "vector", F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double")
     )
-    sample = rows.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("vector").collect()
+    sample = rows.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select(F.size("vector")).collect()
     empty = df.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     if not sample:
         return empty
-    lengths = np.array([len(r.vector) for r in sample])
-    width = int(np.bincount(lengths).argmax())
-    rows = rows.where(F.size("vector") == width)
-    known = rows.agg(
-        F.max(square).alias("top"), F.count("*").alias("n"), F.count_if(is_query).alias("q")
-    ).first()
-    learned = np.array([r.vector for r in sample if len(r.vector) == width], np.float64)
-    codes = Codes(learned, float(np.sqrt(known.top)))
-    blocks, chunks = max(1, -(-known.n // BLOCK)), max(1, -(-known.q // CHUNK))
+    width = int(np.bincount([r[0] for r in sample]).argmax())
+    norm_class = F.floor(F.log(square) / (2 * math.log(NORM_STEP))).cast("int")
+    rows = rows.where(F.size("vector") == width).withColumn("norm_class", norm_class)
+    # A row for each class: doubles have fewer than 10,000 of them.
+    known = rows.groupBy("norm_class").agg(F.count("*").alias("n"), F.count_if(is_query).alias("q"))
+    counts = known.orderBy("norm_class").collect()
+    chunks = max(1, -(-sum(r.q for r in counts) // CHUNK))
+    classes, blocks = [], 0
+    for r in counts:
+        own = -(-r.n // BLOCK)
+        classes.append((r.norm_class, own, blocks))
+        blocks += own
+    firsts = df.sparkSession.createDataFrame(classes, "norm_class int, own int, first int")
     all_of = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    place = lambda n: F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
-    stored = rows.select("id", "vector", place(blocks).alias("block"), all_of(chunks).alias("chunk"))
+    chunk = F.pmod(F.xxhash64("id"), F.lit(chunks)).cast("int")
+    block = (F.col("first") + F.pmod(F.xxhash64("id"), F.col("own"))).cast("int")
+    stored = rows.join(F.broadcast(firsts), "norm_class").select(
+        "id", "vector", block.alias("block"), all_of(chunks).alias("chunk")
+    )
     asked = rows.where(is_query).select(
-        "id", "vector", all_of(blocks).alias("block"), place(chunks).alias("chunk")
+        "id", "vector", all_of(blocks).alias("block"), chunk.alias("chunk")
     )
     task = (F.col("block").cast("long") * chunks + F.col("chunk")).alias("task")
     tasks = stored.select(task, F.lit(0).alias("side"), "id", "vector").unionAll(
@@ -236,7 +259,7 @@ def nearest(
     found = (
         tasks.repartition(min(blocks * chunks, 1 << 20), "task")
         .sortWithinPartitions("task")
-        .mapInArrow(_search(codes, width, k), "query_id long, vec_id long, score double")
+        .mapInArrow(_search(width, k), "query_id long, vec_id long, score double")
     )
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (
