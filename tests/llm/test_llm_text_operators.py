@@ -143,6 +143,8 @@ def test_tokens_of_odd_texts(spark):
         "A<|endoftext|>B <|ENDOFTEXT|> <|startoftext|>.",
         "W̊ ẘ, É. é Å ẞ İI",
         "Mr.Smith,Jr. it's IT'S x.,y .. ,, a. ,b",
+        "É.é! a's'll ä'T x<y a<|b ß(c)d #e&f %g *h* i+j k-l m/n o:p;q=r>s?t@u [v] \\w ^x _y_ `z` {a} b|c ~d",
+        "ab!!! cd### ef$$$ gh&&& ij***kl é***é, ж. 中。文, 中.文 ʼs o'clock'd",
         " no break　wide\x1c\x85 end",
         "\U0001d400\U0001f600 123abc4.5,6",
     ]
@@ -202,3 +204,47 @@ def test_secret_spans(spark):
     assert clean[0] == "[secret] and é SECRET = 'xyz' then [secret]\""
     assert (clean[1], clean[4]) == (SECRETS[1], None)
     assert "xQ7v" not in clean[6] and "wordswords" in clean[6]
+
+
+def test_layout_of_token_files(spark, tmp_path):
+    """Delta-packed ids without a dictionary, several row groups with page indexes, and a range of
+    ids that reads some of them only."""
+    import pyarrow.parquet as pq
+
+    rows = [(i, " ".join(str((i * j) % 9973) for j in range(4000))) for i in range(900)]
+    path = str(tmp_path / "tokens")
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    write_tokens(df, path, VOCABULARY, 2, files=2, row_group_mb=1, page_kb=16)
+    files = sorted(tmp_path.glob("tokens/part-*"))
+    assert len(files) == 2
+    last = -1
+    for f in files:
+        meta = pq.ParquetFile(f).metadata
+        assert meta.num_row_groups > 1
+        for g in range(meta.num_row_groups):
+            column = [meta.row_group(g).column(i) for i in range(meta.num_columns)]
+            ids = next(c for c in column if c.path_in_schema.startswith("ids"))
+            doc = next(c for c in column if c.path_in_schema == "doc_id")
+            assert "DELTA_BINARY_PACKED" in ids.encodings and not ids.has_dictionary_page
+            assert ids.has_offset_index and doc.has_column_index
+            assert last < doc.statistics.min  # files and row groups go up by id
+            last = doc.statistics.max
+    some = read_tokens(spark, path, "doc_id long, n_tokens int").where("doc_id BETWEEN 10 AND 12")
+    assert sorted(r[0] for r in some.collect()) == [10, 11, 12]
+    assert "PushedFilters: [IsNotNull(doc_id), GreaterThanOrEqual(doc_id,10)" in some._jdf.queryExecution().toString()
+
+
+def test_files_are_ordered_by_number(spark, tmp_path):
+    """A writer with more than 100,000 tasks has names of six digits beside those of five."""
+    path = tmp_path / "tokens"
+    rows = [(i, f"word {i}") for i in range(6)]
+    write_tokens(spark.createDataFrame(rows, "doc_id long, text string"), str(path), VOCABULARY, 2, 2)
+    files = sorted(path.glob("part-*"))
+    for f, number in zip(files, ("99999", "100000"), strict=True):
+        for x in (f, f.with_name(f".{f.name}.crc")):
+            x.rename(x.with_name(x.name.replace(f.name[5:10], number, 1)))
+    got = sorted((r["doc_id"], r["start"], r["n_tokens"]) for r in token_digest(spark, str(path)).collect())
+    start = 0
+    for _, at, n in got:
+        assert at == start
+        start += n

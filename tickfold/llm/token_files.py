@@ -29,9 +29,9 @@ from tickfold.session import ship_package
 
 ROWS_SCHEMA = "doc_id long, n_tokens int, ids array<int>"
 READ_SCHEMA = "doc_id long, n_tokens long, ids_crc32 long, file string, row long"
-PIECES_KEPT = 300_000  # of each generation
+PIECES_KEPT = 450_000  # of each generation; a few hundred bytes each
 PIECES_AT_ONCE = 1000
-TEXT_PART = 1 << 22  # characters encoded at a time
+TEXT_PART = 1 << 23  # characters encoded at a time
 
 
 class Encoder:
@@ -88,8 +88,9 @@ class Encoder:
         n = len(texts)
         offsets = before[edges] + np.arange(n + 1)
         out = np.full(int(offsets[-1]), end_id, np.int32)
-        place = np.arange(int(before[-1])) - np.repeat(before[:-1], sizes[which])
-        source = np.repeat(starts[which], sizes[which]) + place
+        # A token's place in ``flat``: its own place, moved by where its piece was coded.
+        source = np.repeat(starts[which] - before[:-1], sizes[which])
+        source += np.arange(int(before[-1]))
         keep = np.ones(len(out), bool)
         keep[offsets[1:] - 1] = False
         out[keep] = flat[source]
@@ -104,13 +105,14 @@ def _encoder(path: str) -> Encoder:
 
 def _plainer(texts: pa.Array) -> pa.Array:
     """Texts with the same tokens and fewer different pieces: A-Z lowered, which the tokenizer
-    does itself, and a space between a letter and a full stop or comma, where it always cuts.
+    does itself, and a space between a letter and a punctuation mark, where it always cuts.
 
     Not so where a mark combines with the letter before it, which lowering first could change,
     or where a special token may be spelled out."""
     special = pc.match_substring(texts, "<|")
     marks = pc.match_substring_regex(texts, "[\u0300-\u036f]")
-    plain = pc.replace_substring_regex(pc.ascii_lower(texts), "([a-z])([.,])", "\\1 \\2")
+    cut = "(\\pL)([!-&(-/:-;=-@])"  # ASCII marks but the apostrophe and <
+    plain = pc.replace_substring_regex(pc.ascii_lower(texts), cut, "\\1 \\2")
     return pc.if_else(pc.or_(special, marks), texts, plain)
 
 
@@ -217,7 +219,9 @@ def token_digest(spark: SparkSession, path: str) -> DataFrame:
         .groupBy("file")
         .agg(F.sum("n_tokens").alias("n"))
     )
-    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    # Files are numbered by task; as text 100000 would come before 99999.
+    number = F.regexp_extract("file", "part-([0-9]+)", 1).cast("long")
+    before = Window.orderBy(number, "file").rowsBetween(Window.unboundedPreceding, -1)
     first = sizes.select("file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
     inside = (
         Window.partitionBy("file").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
