@@ -14,7 +14,7 @@ from tickfold.llm.histogram_sort import histogram_sort
 from tickfold.llm.multi_index import Block, Codes, nearest
 from tickfold.llm.queries import ORACLES, QUERIES
 from tickfold.llm.raking import draw, mix
-from tickfold.llm.token_counts import Rollup, event
+from tickfold.llm.token_counts import Rollup, event, signed
 from tickfold.session import shared_folder
 
 FOLDER = "/root/testdata/sf0.001"
@@ -110,34 +110,45 @@ def test_repeated_rows_get_slots(spark):
 def test_rollup(spark):
     rollup = Rollup(spark, shared_folder(spark, "rollup"))
     at = lambda s, v, n: {"source": F.lit(s), "version": F.lit(v), "tokens": F.lit(n)}
+    totals = lambda: sorted(tuple(r) for r in rollup.totals().collect())
+    assert totals() == []
     one = spark.range(3)
     assert rollup.commit(1, one.select(*event("insert", at("a", "1", 10), {})))
     assert not rollup.commit(1, one.select(*event("insert", at("a", "1", 10), {})))
     gone = spark.range(1).select(*event("delete", {}, at("a", "1", 10)))
     assert rollup.commit(2, gone)
-    assert rollup.commit(3, spark.range(1).select(*event("revise", at("b", "2", 7), at("a", "1", 10))))
+    assert rollup.commit(7, spark.range(1).select(*event("revise", at("b", "2", 7), at("a", "1", 10))))
     assert rollup.commit(4, gone.where("false"))
-    totals = lambda b: sorted(tuple(r) for r in rollup.totals(b).collect())
     want = [("a", None, "1", 1, 10), ("b", None, "2", 1, 7)]
-    assert totals([1, 2, 3, 4]) == want
-    assert totals([1, 2, 3, 4, 3, 99]) == want
-    assert rollup.compact([1, 2, 3, 4], 5)
-    assert totals([5]) == want
-    assert rollup.commit(6, spark.range(1).select(*event("delete", {}, at("b", "2", 7))))
-    assert totals([5, 6]) == want[:1]
-    assert totals([]) == []
+    assert totals() == want
+    assert [rollup.committed(b) for b in range(1, 9)] == [True, True, False, True, False, False, True, False]
+    assert rollup.compact() and totals() == want
+    assert not rollup.commit(2, gone) and totals() == want  # compacted batches stay known
+    assert rollup.commit(3, spark.range(1).select(*event("delete", {}, at("b", "2", 7))))
+    assert totals() == want[:1]
+
+
+def test_rollup_compacts_without_loss(spark):
+    """Batches in any order, each given twice; sums take the place of folders on the way."""
+    rollup = Rollup(spark, shared_folder(spark, "rollup"), merge_above=3)
+    for batch in (5, 1, 9, 2, 8, 3, 4, 7, 6, 10):
+        events = spark.range(batch).select(
+            *event("insert", {"source": F.lit("s"), "tokens": F.lit(batch)}, {})
+        )
+        assert rollup.commit(batch, events) and not rollup.commit(batch, events)
+    assert [tuple(r) for r in rollup.totals().collect()] == [("s", None, None, 55, 385)]
+    state = rollup.log.latest(spark)
+    assert len(state.folders["sums"]) <= 4 and state.state["batches"] == [[1, 10]]
 
 
 def test_unfinished_batch_is_replaced(spark):
     rollup = Rollup(spark, shared_folder(spark, "rollup"))
     new = {"source": F.lit("a"), "tokens": F.lit(1)}
     events = spark.range(2).select(*event("insert", new, {}))
-    spark.range(9).write.option(
-        "mapreduce.fileoutputcommitter.marksuccessfuljobs", "false"
-    ).parquet(f"{rollup.path}/batch=1")
-    assert rollup.totals([1]).collect() == []
+    rollup.log.stage(signed(events))  # a job that died before its commit
+    assert rollup.totals().collect() == [] and not rollup.committed(1)
     assert rollup.commit(1, events)
-    assert [tuple(r) for r in rollup.totals([1]).collect()] == [("a", None, None, 2, 2)]
+    assert [tuple(r) for r in rollup.totals().collect()] == [("a", None, None, 2, 2)]
 
 
 def test_mix_meets_the_targets(docs):
@@ -187,7 +198,7 @@ def test_best_fit(spark):
 
 @pytest.mark.parametrize("name", list(QUERIES))
 def test_empty_tables(spark, tmp_path, name):
-    for t in ("documents", "embeddings"):
+    for t in ("documents", "embeddings", "labels"):
         spark.read.parquet(f"{FOLDER}/{t}.parquet").limit(0).write.parquet(f"{tmp_path}/{t}.parquet")
     assert QUERIES[name](spark, str(tmp_path)).collect() == []
 

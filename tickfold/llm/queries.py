@@ -80,7 +80,7 @@ def op4_token_counts(spark: SparkSession, d: str) -> DataFrame:
     copies = docs.where("doc_id IS NOT NULL").join(stays, ["text_key", "doc_id"], "left_anti")
     rollup.commit(3, copies.select(*event("delete", {}, now)))
     rollup.commit(2, revisions)
-    return rollup.totals([1, 2, 3])
+    return rollup.totals()
 
 
 def op5_histogram_sort(spark: SparkSession, d: str) -> DataFrame:
