@@ -344,3 +344,20 @@ def test_nearest_over_norm_classes_and_blocks(spark, monkeypatch):
         score[q] = -np.inf
         recall.append(len(found & {*np.lexsort((ids, -score))[:20].tolist()}) / 20)
     assert len(got) == 150 and np.mean(recall) >= 0.95 and min(recall) >= 0.6
+
+
+def test_pipeline_stages_keep_odd_columns(spark, docs):
+    """Extra columns whose names need quotes or are used inside the stages."""
+    now = docs.select(
+        "doc_id", "text", "lang", "source", "n_chars",
+        F.lit("x").alias("a.b"), "row", "found", "w", F.lit(1).alias("base"), F.lit(2).alias("topic"),
+        F.lit(3).alias("n_tokens"), F.lit(4).alias("kept words"), F.lit(5).alias("hashes"),
+    )
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        path = shared_folder(spark, name)
+        stage(spark, now, FOLDER).write.parquet(path)
+        out = spark.read.parquet(path)
+        assert out.columns == now.columns, name
+        assert {r["a.b"] for r in out.select("`a.b`").collect()} == {"x"}
+        now = out
+    assert corpus_pipeline.STAGES[-1][1](spark, now, FOLDER).count() > 0
