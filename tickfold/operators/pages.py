@@ -6,7 +6,9 @@ task. Here the ordinal is built from pieces whose size is bounded by constructio
 
 1. Count ticks per hour. Ticks are distinct milliseconds, so an hour holds at most
    3,600,000 of them however the data is distributed; and the key domain has at most
-   2.8 million hours, so the running sum over hours is small.
+   2.8 million hours, so the running sum over hours is small. Keys that are no epoch
+   milliseconds of 13 digits (microseconds, say) have buckets too: ten hours wide, and ten
+   times wider for each further digit, 3.6 million in all.
 2. Find the ticks that start a *part*, a fixed number of whole pages; at most ``max_parts``
    exist. Ticks are counted per *cell*, a stretch of their hour so short that parts have many of
    them, and ranked only inside the few cells where a part starts. Counts are added up before
@@ -38,19 +40,82 @@ TICKS_PER_PART = 1_000
 _LAST = 2**63 - 1
 
 
+# Buckets outside the domain of 13 digits: for keys of 13 + d digits they are as wide as entry d
+# here, and negative keys mirror the others. A decade of keys has at most _PER_DECADE of them.
+_WIDE = [10 * HOUR_MS * 10**d for d in range(7)]
+_HOURS = MAX_KEY_MS // HOUR_MS + 1
+_PER_DECADE = MAX_KEY_MS // _WIDE[0] + 1
+_FAR = 9 * 10**18  # keys beyond it share the last bucket, so that no sum overflows
+
+
 def _in_domain(ms: str) -> str:
-    return f"least(greatest({ms}, 0), {MAX_KEY_MS})"
+    return f"least(greatest({ms}, {-_FAR}), {_FAR - 1})"
+
+
+def _usual(ms: str) -> str:
+    return f"{ms} BETWEEN 0 AND {MAX_KEY_MS}"
+
+
+def _size_of(ms: str) -> str:
+    """SQL for a key's distance from zero; ~x is -x - 1."""
+    return f"if({ms} < 0, ~{_in_domain(ms)}, {_in_domain(ms)})"
+
+
+def _by_decade(size: str, values: list[str]) -> str:
+    """SQL for one of ``values``, by the digits of ``size``."""
+    upper = [MAX_KEY_MS * 10**d + 10**d - 1 for d in range(6)]
+    whens = [f"WHEN {size} <= {u} THEN {v}" for u, v in zip(upper, values, strict=False)]
+    return f"CASE {' '.join(whens)} ELSE {values[-1]} END"
 
 
 def hour_of(ms: str) -> str:
-    """SQL for the hour bucket of a key. Keys outside the domain join the first or last
-    bucket, which keeps the order and the bound on the number of buckets."""
-    return f"{_in_domain(ms)} div {HOUR_MS}"
+    """SQL for the hour bucket of a key: a number that never falls as keys rise."""
+    size = _size_of(ms)
+    before = [0] + [_HOURS + d * _PER_DECADE for d in range(6)]
+    up = _by_decade(size, [f"{b} + {size} div {w}" for b, w in zip(before, _WIDE, strict=True)])
+    down = _by_decade(
+        size, [f"~({d * _PER_DECADE} + {size} div {w})" for d, w in enumerate(_WIDE)]
+    )
+    return (
+        f"CASE WHEN {_usual(ms)} THEN {ms} div {HOUR_MS} WHEN {ms} < 0 THEN {down} ELSE {up} END"
+    )
+
+
+def _width_of(ms: str) -> str:
+    """SQL for the width of a key's bucket."""
+    return (
+        f"CASE WHEN {_usual(ms)} THEN {HOUR_MS}"
+        f" ELSE {_by_decade(_size_of(ms), [f'bigint({w})' for w in _WIDE])} END"
+    )
+
+
+def _bucket_width(hour: str) -> str:
+    """SQL for the width of a bucket."""
+    wide = f"array({', '.join(f'bigint({w})' for w in _WIDE)})"
+    return (
+        f"CASE WHEN {hour} < 0 THEN element_at({wide}, int(~{hour} div {_PER_DECADE}) + 1)"
+        f" WHEN {hour} < {_HOURS} THEN bigint({HOUR_MS})"
+        f" ELSE element_at({wide}, int(({hour} - {_HOURS}) div {_PER_DECADE}) + 2) END"
+    )
+
+
+def _bucket_start(hour: str) -> str:
+    """SQL for the first key of a bucket, given its ``width``."""
+    return (
+        f"CASE WHEN {hour} < 0 THEN -(~{hour} % {_PER_DECADE} + 1) * width"
+        f" WHEN {hour} < {_HOURS} THEN {hour} * width"
+        f" ELSE ({hour} - {_HOURS}) % {_PER_DECADE} * width END"
+    )
+
+
+def _inside(ms: str) -> str:
+    """SQL for the distance of a key from the start of its bucket."""
+    return f"pmod({_in_domain(ms)}, {_width_of(ms)})"
 
 
 def _slot_of(ms: str) -> str:
     """SQL for the start of the slot of a key, given the ``slot_ms`` of its hour."""
-    return f"{_in_domain(ms)} - {_in_domain(ms)} % {HOUR_MS} % slot_ms"
+    return f"{_in_domain(ms)} - {_inside(ms)} % slot_ms"
 
 
 def hour_table(
@@ -90,7 +155,8 @@ def hour_table(
             f"greatest({few}, (n_ticks - 1) div {page_size * max_parts} + 1) * {page_size} AS span",
         )
         .selectExpr("*", f"{parts} AS n_parts")
-        .selectExpr("*", f"if(n_parts = 1, {HOUR_MS}, {HOUR_MS} div (2 * n_parts) + 1) AS slot_ms")
+        .selectExpr("*", f"{_bucket_width('hour')} AS width")
+        .selectExpr("*", "if(n_parts = 1, width, width div (2 * n_parts) + 1) AS slot_ms")
     )
     return ticks, hours
 
@@ -101,9 +167,12 @@ CELLS_PER_PART = 32  # a part has 1,000 ticks or more: few cells, and few ticks
 def _cell_of(ms: str) -> str:
     """SQL for the number of a key's cell inside its hour, given the ``cell_ms`` of the hour.
 
-    Keys outside the domain, if there are any, are one cell before or after all others."""
-    inside = f"{_in_domain(ms)} % {HOUR_MS} div cell_ms"
-    return f"CASE WHEN {ms} < 0 THEN -1 WHEN {ms} > {MAX_KEY_MS} THEN {HOUR_MS} ELSE {inside} END"
+    Keys too far out for a bucket of their own, if there are any, are one cell before or after
+    all others."""
+    return (
+        f"CASE WHEN {ms} < {-_FAR} THEN -1 WHEN {ms} >= {_FAR} THEN {_WIDE[-1]}"
+        f" ELSE {_inside(ms)} div cell_ms END"
+    )
 
 
 def part_table(ticks: DataFrame, hours: DataFrame) -> DataFrame:
@@ -111,7 +180,7 @@ def part_table(ticks: DataFrame, hours: DataFrame) -> DataFrame:
     # At most CELLS_PER_PART cells for each part of an hour, whatever its ticks.
     wide = F.broadcast(
         hours.selectExpr(
-            "hour", "before", "span", f"{HOUR_MS} div ({CELLS_PER_PART} * n_parts) + 1 AS cell_ms"
+            "hour", "before", "span", f"width div ({CELLS_PER_PART} * n_parts) + 1 AS cell_ms"
         )
     )
     cells = (
@@ -153,23 +222,35 @@ def part_table(ticks: DataFrame, hours: DataFrame) -> DataFrame:
 
 
 def slot_table(parts: DataFrame, slots: DataFrame) -> DataFrame:
-    """``slot, part, lo, hi, span, n_ticks``: the parts that each slot can belong to.
+    """``hour, slot, part, lo, hi, span, n_ticks``: the parts that each slot can belong to.
 
     Slots number at most two per hour with ticks and two per part, and a row is added for
     each part boundary. ``slots`` has ``hour, slot_ms``.
     """
-    per_hour = parts.selectExpr(
-        f"explode(sequence({hour_of('lo')}, least({hour_of('hi')}, last_hour))) AS hour",
+    per_hour = (
+        parts.selectExpr(
+            f"explode(sequence({hour_of('lo')}, least({hour_of('hi')}, last_hour))) AS hour",
+            "part",
+            "lo",
+            "hi",
+            "span",
+            "n_ticks",
+        )
+        .join(slots, "hour")
+        .selectExpr("*", f"{_bucket_width('hour')} AS width")
+        .selectExpr("*", f"{_bucket_start('hour')} AS start")
+        .selectExpr("*", f"greatest({_in_domain('lo')}, start) AS low")
+    )
+    first = "low - (low - start) % slot_ms"
+    last = f"least({_in_domain('hi')}, start + width - 1)"
+    return per_hour.selectExpr(
+        "hour",
+        f"explode(sequence({first}, {last}, slot_ms)) AS slot",
         "part",
         "lo",
         "hi",
         "span",
         "n_ticks",
-    ).join(slots, "hour")
-    first = _slot_of(f"greatest(lo, hour * {HOUR_MS})")
-    last = f"least({_in_domain('hi')}, hour * {HOUR_MS} + {HOUR_MS - 1})"
-    return per_hour.selectExpr(
-        f"explode(sequence({first}, {last}, slot_ms)) AS slot", "part", "lo", "hi", "span", "n_ticks"
     )
 
 
@@ -195,8 +276,13 @@ def assign_pages(
     placed = (
         df.selectExpr("*", f"{hour_of(ms)} AS key_hour")
         .join(F.broadcast(slots), F.expr("key_hour = hour"))
-        .selectExpr(*[quoted(c) for c in df.columns], f"{_slot_of(f'`{ms}`')} AS key_slot")
-        .join(F.broadcast(table), F.expr(f"key_slot = slot AND `{ms}` BETWEEN lo AND hi"))
+        .selectExpr(
+            *[quoted(c) for c in df.columns], "key_hour", f"{_slot_of(f'`{ms}`')} AS key_slot"
+        )
+        .join(
+            F.broadcast(table),
+            F.expr(f"key_hour = hour AND key_slot = slot AND `{ms}` BETWEEN lo AND hi"),
+        )
     )
     tick = "row_number()" if unique else "dense_rank()"
     ordinal = f"part * span + bigint({tick} OVER (PARTITION BY part ORDER BY `{ms}`)) - 1"
