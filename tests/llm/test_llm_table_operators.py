@@ -5,14 +5,15 @@ import zlib
 import corpus_pipeline
 import llm_cases as cases
 import numpy as np
+import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
 from tickfold.llm import histogram_sort as hs
-from tickfold.llm.best_fit import best_fit, pack
+from tickfold.llm.best_fit import best_fit, pack, pack_tokens, sequences
 from tickfold.llm.histogram_sort import histogram_sort
 from tickfold.llm.multi_index import Block, Codes, nearest
-from tickfold.llm.queries import ORACLES, QUERIES
+from tickfold.llm.queries import END_ID, ORACLES, QUERIES, TOKENIZER, packed_documents
 from tickfold.llm.raking import draw, mix
 from tickfold.llm.token_counts import Rollup, event, signed
 from tickfold.session import shared_folder
@@ -196,6 +197,52 @@ def test_best_fit(spark):
     assert (out.bin_start + out.n_tokens <= out.capacity).all()
 
 
+def test_packed_ids_are_those_of_whole_texts(spark, docs):
+    """Pieces and sequences give back the ids of each text, encoded whole."""
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path(TOKENIZER))
+    pieces = packed_documents(docs.withColumn("copy", F.lit("x")).withColumn("ids", F.lit(1)))
+    rows = pieces.collect()
+    texts = docs.select("doc_id", "text").collect()
+    want = sorted(
+        (r.doc_id is None, r.doc_id or 0, [*tokenizer.encode(r.text or "", add_special_tokens=False).ids, END_ID])
+        for r in texts
+    )
+    by_doc = {}
+    for r in sorted(rows, key=lambda r: r.first_token):
+        assert len(r.ids) == r.n_tokens > 0 and r.bin_start + r.n_tokens <= r.capacity
+        by_doc.setdefault(r.doc_id, []).extend(r.ids)
+    single = {}
+    for _, i, ids in want:
+        single.setdefault(i, []).append(ids)
+    for i, lists in single.items():
+        if len(lists) == 1 and i in by_doc:
+            assert by_doc[i] == lists[0]
+    assert sorted(t for ids in by_doc.values() for t in ids) == sorted(t for *_, ids in want for t in ids)
+    place = {}
+    for r in rows:
+        for at, token in enumerate(r.ids):
+            assert place.setdefault((r.bin_id, r.bin_start + at), (r.doc_id, r.piece, token)) == (r.doc_id, r.piece, token)
+    whole = sequences(pieces).collect()
+    assert len(whole) == len({r.bin_id for r in rows})
+    for s in whole:
+        assert len(s.ids) <= s.capacity and s.starts == sorted(s.starts)
+        assert s.ids == [place[s.bin_id, at][2] for at in range(len(s.ids))]
+    assert sum(len(s.ids) for s in whole) == len(place)
+
+
+def test_packed_ids_of_odd_lists(spark):
+    lists = [(1, list(range(20_000))), (2, None), (3, []), (None, [7]), (5, [1, 2]), (5, [1, 2]), (5, [9])]
+    df = spark.createDataFrame(lists, "doc_id long, ids array<int>")
+    out = pack_tokens(df).collect()
+    assert [r.n_tokens for r in sorted(out, key=lambda r: r.piece) if r.doc_id == 1] == [8192, 8192, 3616]
+    long = [t for r in sorted(out, key=lambda r: r.piece) if r.doc_id == 1 for t in r.ids]
+    assert long == list(range(20_000))
+    rest = sorted((r.doc_id or 0, r.ids) for r in out if r.doc_id != 1)
+    assert rest == [(0, [7]), (2, []), (3, []), (5, [1, 2]), (5, [1, 2]), (5, [9])]
+
+
 @pytest.mark.parametrize("name", list(QUERIES))
 def test_empty_tables(spark, tmp_path, name):
     for t in ("documents", "embeddings", "labels"):

@@ -8,10 +8,14 @@ permitted length of least cost, (length + overhead) for each token that it can s
 hold, given all pieces that are left and fit. In the end each sequence shrinks to the shortest
 permitted length of its contents.
 
+``best_fit`` packs counts; ``pack_tokens`` packs lists of ids and gives each piece with its ids, and
+``sequences`` lays the pieces of each sequence end to end.
+
 Defined cases: a null or negative count is 0; a document without tokens is one empty piece in
 some sequence; documents of any length are cut; null ids and repeated rows are packed each; ties
-go by id, piece and copy, so a repeated run packs alike; an empty table gives no rows; other
-columns are ignored.
+go by id, piece and copy, so a repeated run of ``best_fit`` packs alike (``pack_tokens`` breaks ties
+by the order of the rows); a null list is empty, and an empty one is an empty piece; an empty table
+gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -23,6 +27,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tickfold.llm.common import written
 from tickfold.session import ship_package
 
 LENGTHS = (512, 1024, 2048, 4096, 8192)
@@ -116,21 +121,73 @@ def best_fit(
         "copy",
         spread.alias("spread"),
     )
-    blocks = max(1, -(-(docs.agg(F.sum(last + 1)).first()[0] or 0) // BLOCK_PIECES))
-
-    def packed(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        whole = pd.concat(list(parts), ignore_index=True)
-        for block, rows in whole.groupby("block"):
-            rows = rows.sort_values(
-                ["n_tokens", "doc_id", "piece", "copy"], ascending=[False, True, True, True]
-            )
-            bins, starts, final = pack(rows["n_tokens"].to_numpy(np.int64), lengths)
-            yield rows.assign(
-                bin_id=(int(block) << 32) + bins, bin_start=starts, capacity=final
-            ).drop(columns=["block", "copy", "spread"])
-
-    def one(rows: pd.DataFrame) -> pd.DataFrame:
-        return next(packed(iter([rows])))
+    number = docs.agg(F.sum(last + 1)).first()[0] or 0
+    return _placed(pieces, number, lengths).drop("copy")
+
+
+def _placed(pieces: DataFrame, number: int, lengths: tuple[int, ...]) -> DataFrame:
+    """The ``number`` pieces (doc_id, piece, first_token, n_tokens, copy, spread), packed block by
+    block; ``spread`` deals them out, and ``copy`` tells equal ones apart."""
+    blocks = max(1, -(-number // BLOCK_PIECES))
+
+    def packed(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(
+            ["n_tokens", "doc_id", "piece", "copy"], ascending=[False, True, True, True]
+        )
+        bins, starts, final = pack(rows["n_tokens"].to_numpy(np.int64), lengths)
+        base = int(rows["block"].iloc[0]) << 32
+        return rows.assign(bin_id=base + bins, bin_start=starts, capacity=final).drop(
+            columns=["block", "spread"]
+        )
 
     block = F.pmod("spread", F.lit(blocks)).cast("long")
-    return pieces.withColumn("block", block).groupBy("block").applyInPandas(one, SCHEMA)
+    dealt = pieces.withColumn("block", block)
+    return dealt.groupBy("block").applyInPandas(packed, f"{SCHEMA}, copy long")
+
+
+def pack_tokens(
+    encoded: DataFrame, lengths: tuple[int, ...] = LENGTHS, doc_id: str = "doc_id", ids: str = "ids"
+) -> DataFrame:
+    """A row per piece as ``best_fit`` gives it, with its ``ids``. Only counts go to the packing
+    tasks; a piece finds its ids again by a number that is written with it."""
+    ship_package(encoded.sparkSession)
+    lengths = tuple(sorted(lengths))
+    longest = lengths[-1]
+    all_ids = F.coalesce(F.col(ids), F.array().cast("array<int>"))
+    last = F.greatest(F.floor((F.size("ids") - 1) / longest), F.lit(0)).cast("int")
+    cut = F.transform(
+        F.sequence(F.lit(0), last), lambda i: F.slice("ids", i * longest + 1, longest)
+    )
+    stored = written(
+        encoded.select(F.col(doc_id).cast("long").alias("doc_id"), all_ids.alias("ids"))
+        .select("doc_id", F.posexplode(cut).alias("piece", "ids"))
+        .withColumn("copy", F.monotonically_increasing_id()),
+        "pieces",
+    )
+    pieces = stored.select(
+        "doc_id",
+        "piece",
+        (F.col("piece").cast("long") * longest).alias("first_token"),
+        F.size("ids").alias("n_tokens"),
+        "copy",
+        F.xxhash64("copy").alias("spread"),
+    )
+    placed = _placed(pieces, stored.count(), lengths)
+    return placed.join(stored.select("copy", "ids"), "copy").drop("copy")
+
+
+def sequences(pieces: DataFrame) -> DataFrame:
+    """bin_id, capacity, doc_ids, starts and ids of each sequence, from ``pack_tokens``. A sequence
+    holds at most its capacity of tokens, and as many pieces if none is empty."""
+    part = F.struct("bin_start", F.size("ids").alias("n"), "doc_id", "piece", "ids")
+    return (
+        pieces.groupBy("bin_id", "capacity")
+        .agg(F.array_sort(F.collect_list(part)).alias("parts"))
+        .select(
+            "bin_id",
+            "capacity",
+            F.col("parts.doc_id").alias("doc_ids"),
+            F.col("parts.bin_start").alias("starts"),
+            F.flatten("parts.ids").alias("ids"),
+        )
+    )

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickfold.llm.best_fit import best_fit
+from tickfold.llm.best_fit import pack_tokens
 from tickfold.llm.chosen_path import near_duplicates
 from tickfold.llm.common import table, utf8, words
 from tickfold.llm.filter_audit import audit, failure_cells
@@ -20,7 +20,7 @@ from tickfold.llm.quality_rules import RULES, STOP_WORDS, quality_rules
 from tickfold.llm.raking import form_topic, mix
 from tickfold.llm.secret_scan import secret_spans, span_digest
 from tickfold.llm.token_counts import Rollup, event
-from tickfold.llm.token_files import token_digest, write_tokens
+from tickfold.llm.token_files import encode, token_digest, write_tokens
 from tickfold.session import shared_folder
 
 TOKENIZER = "word_bpe_49k.json"
@@ -32,6 +32,10 @@ POWERS = {"source": 0.8, "lang": 0.9, "topic": 0.9}
 SAMPLE_SHARE = 0.75
 
 
+def packed_documents(docs: DataFrame) -> DataFrame:
+    return pack_tokens(encode(docs, public_tokenizers.path(TOKENIZER), END_ID))
+
+
 def op1_multi_index(spark: SparkSession, d: str) -> DataFrame:
     return nearest(table(spark, d, "embeddings"), F.col("id") % 20 == 0, k=20)
 
@@ -129,9 +133,8 @@ def op8_secret_scan(spark: SparkSession, d: str) -> DataFrame:
 
 
 def op9_best_fit(spark: SparkSession, d: str) -> DataFrame:
-    """White-space words and an end token, packed into sequences of 512 to 8,192."""
-    docs = table(spark, d, "documents")
-    return best_fit(docs.select("doc_id", (F.size(words(F.col("text"))) + 1).alias("n_tokens")))
+    """Token ids with an end id, packed into sequences of 512 to 8,192."""
+    return packed_documents(table(spark, d, "documents"))
 
 
 def op10_prefix_doubling(spark: SparkSession, d: str) -> DataFrame:
