@@ -8,11 +8,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickfold.llm.best_fit import best_fit
 from tickfold.llm.chosen_path import near_duplicates
 from tickfold.llm.common import settled, table, words, written
 from tickfold.llm.quality_rules import passing
-from tickfold.llm.queries import POWERS, SAMPLE_SHARE
+from tickfold.llm.queries import POWERS, SAMPLE_SHARE, packed_documents
 from tickfold.llm.raking import form_topic, mix
 from tickfold.llm.secret_scan import masked, with_spans
 
@@ -58,8 +57,8 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents with their place in sequences of several lengths."""
-    return best_fit(docs.select("doc_id", (F.size(words(F.col("text"))) + 1).alias("n_tokens")))
+    """Pieces of documents, as token ids, with their place in sequences of several lengths."""
+    return packed_documents(docs)
 
 
 STAGES = [
