@@ -82,8 +82,10 @@ def test_near_duplicates_of_null_and_repeated_ids(spark):
     ]
 
 
-def test_repeats(docs, pairs):
-    found = repeats(docs)
+@pytest.mark.parametrize("share", [1.0, 1 / 1000])
+def test_repeats(docs, pairs, share):
+    """With one or two ranks split, and with all of them."""
+    found = repeats(docs, share=share)
     got, left, want = by_id(digest(found)), by_id(cleaned(found)), cases.removed(pairs)
     assert sum(map(sum, want.values())) > 5000
     for i, t in pairs:
@@ -108,6 +110,30 @@ def test_repeats_of_null_and_repeated_ids(spark):
     assert sorted((-1 if r.doc_id is None else r.doc_id, r.n_removed) for r in got) == want
 
 
+def test_frequent_ranks(spark):
+    """One phrase with other words around it each time: its rank is found, whatever the batches."""
+    rng = np.random.default_rng(5)
+    noise = lambda: "".join(rng.choice(list("abcdefghijklmnop"), 60))
+    phrase = "z" * 20 + "one phrase that stands in many texts" + "z" * 20
+    rows = [(i, noise() + (phrase if i % 3 == 0 else noise()) + noise()) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc long, text string").repartition(4)
+    some, counters = [], prefix_doubling.Counters(40)
+    for _, t in rows:
+        raw = np.frombuffer(t.encode(), np.uint8)
+        part = prefix_doubling._Part(raw, np.array([0, len(raw)]))
+        ranks = part.first[part.anchors()[1]]
+        counters.add(ranks)
+        some.append(ranks)
+    rank, n = np.unique(np.concatenate(some), return_counts=True)
+    heavy = rank[n > counters.rows / 20]
+    assert len(heavy) and set(heavy) <= set(prefix_doubling.frequent_ranks(docs, 1 / 20))
+    assert len(prefix_doubling.frequent_ranks(docs, 1 / 20)) <= 40
+    true = dict(zip(rank.tolist(), n.tolist(), strict=True))
+    assert set(heavy) <= set(counters.rank) and counters.lost <= counters.rows / 40
+    for r, k in zip(counters.rank.tolist(), counters.n.tolist(), strict=True):
+        assert true[r] - counters.lost <= k <= true[r]
+
+
 def test_anchor_of_a_window_depends_on_the_window_alone():
     rng = np.random.default_rng(1)
     raw = rng.integers(97, 100, 3000).astype(np.uint8)  # many equal short strings

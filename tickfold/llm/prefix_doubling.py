@@ -17,6 +17,12 @@ rounds are sorted by Spark:
 Before each shuffle equal rows of a batch become one: the others have an earlier equal in their
 batch, which settles them. So a passage of a third of all documents sends a row per batch.
 
+A short phrase that stands in many texts, with other words around it each time, is one rank with
+many covers. Such ranks are found first, by Misra-Gries counters over the anchors of all texts, and
+are split: their anchors travel by rank and cover together. Equal covers meet all the same, and the
+first of them are compared by windows without asking whether the rank has other covers, so the
+result does not depend on which ranks are split.
+
 Defined cases: null and empty texts, and those under 100 bytes, lose nothing; one document may
 repeat itself; rows with a null id are kept whole and matched with nothing; rows that share an id
 are taken to share their text and are never repeats of each other; an empty table gives no rows;
@@ -26,7 +32,7 @@ other columns are ignored. Places are in UTF-8 bytes.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +48,9 @@ STARTS = LENGTH - FIRST + 1  # prefixes of the first rank inside a window
 _PLACE_BITS = 24
 _PLACE = np.uint64((1 << _PLACE_BITS) - 1)
 _BYTE = np.random.default_rng(3).integers(1, 1 << 63, 256, dtype=np.uint64)
+#: A rank with more than this share of all anchors is split.
+SHARE = 1 / 1000
+_SPLIT = 1 << 62  # marks the ``place`` of an anchor of such a rank
 _R = np.uint64(0xD1342543DE82EF95)
 _R_INVERSE = np.uint64(pow(0xD1342543DE82EF95, -1, 1 << 64))
 
@@ -131,27 +140,80 @@ def _apart(rank: np.ndarray, settled: np.ndarray, doc: np.ndarray, at: np.ndarra
     return np.where(settled, own, rank).view(np.int64)
 
 
-def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for whole in batches:
-        found: list[tuple] = []
-        for batch in parts(whole):
-            raw, offsets = text_bytes(batch.column("text"))
-            part, ids = _Part(raw, offsets), batch.column("doc").to_numpy()
-            text, at, first, last = part.anchors()
-            cover = part.hashes(first, last - first + LENGTH)
-            found.append(
-                (part.first[at], cover, at - last, at - first, ids[text], at - offsets[text])
-            )
-        if not found:
-            continue
-        rank, cover, low, high, doc, at = (np.concatenate(x) for x in zip(*found, strict=True))
-        settled = _settle([rank, cover, low, high], doc, at)
-        place = at << 15 | low << 8 | high << 1 | settled
-        columns = [_apart(rank, settled, doc, at), cover.view(np.int64), doc, place]
+class Counters:
+    """Misra-Gries counters of ranks: a count is too small by ``lost`` at most."""
+
+    def __init__(self, size: int):
+        self.size, self.lost, self.rows = size, 0, 0
+        self.rank, self.n = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+
+    def add(self, ranks: np.ndarray) -> None:
+        self.rows += len(ranks)
+        some, n = np.unique(ranks, return_counts=True)
+        self.rank, at = np.unique(np.concatenate([self.rank, some]), return_inverse=True)
+        both, self.n = np.concatenate([self.n, n]), np.zeros(len(self.rank), np.int64)
+        np.add.at(self.n, at, both)
+        if len(self.n) > self.size:
+            # As many single steps at once as leave ``size`` counters: each takes one from all.
+            cut = int(np.partition(self.n, -self.size - 1)[-self.size - 1])
+            keep = self.n > cut
+            self.lost += cut
+            self.rank, self.n = self.rank[keep], self.n[keep] - cut
+
+
+def frequent_ranks(known: DataFrame, share: float = SHARE) -> np.ndarray:
+    """At most 2 / share ranks, sorted, among them all with more than the share of all anchors."""
+    size = round(2 / share)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = Counters(size)
+        for whole in batches:
+            for batch in parts(whole):
+                part = _Part(*text_bytes(batch.column("text")))
+                seen.add(part.first[part.anchors()[1]])
+        # True counts are larger by ``lost`` at most, which is below rows * share / 2.
+        keep = seen.n > seen.rows * share / 2 - seen.lost
         yield pa.RecordBatch.from_arrays(
-            [pa.array(c) for c in columns], names=["rank", "cover", "doc", "place"]
+            [pa.array(seen.rank[keep].view(np.int64)), pa.array(seen.n[keep])], names=["rank", "n"]
         )
 
+    counters = known.mapInArrow(count, "rank long, n long")
+    summed = counters.groupBy("rank").agg(F.sum("n").alias("n"))
+    largest = summed.orderBy(F.desc("n"), "rank").limit(size).collect()
+    return np.sort(np.array([r["rank"] for r in largest], np.int64).view(np.uint64))
+
+
+def _anchor_rows(frequent: np.ndarray) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            found: list[tuple] = []
+            for batch in parts(whole):
+                raw, offsets = text_bytes(batch.column("text"))
+                part, ids = _Part(raw, offsets), batch.column("doc").to_numpy()
+                text, at, first, last = part.anchors()
+                cover = part.hashes(first, last - first + LENGTH)
+                found.append(
+                    (part.first[at], cover, at - last, at - first, ids[text], at - offsets[text])
+                )
+            if not found:
+                continue
+            rank, cover, low, high, doc, at = (np.concatenate(x) for x in zip(*found, strict=True))
+            settled = _settle([rank, cover, low, high], doc, at)
+            place = at << 15 | low << 8 | high << 1 | settled
+            split = np.isin(rank, frequent) & ~settled
+            rank = np.where(split, mix(rank * _R + cover), rank)
+            columns = [
+                _apart(rank, settled, doc, at),
+                cover.view(np.int64),
+                doc,
+                place | np.where(split, _SPLIT, 0),
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c) for c in columns], names=["rank", "cover", "doc", "place"]
+            )
+
+    return run
+
 
 def _spread(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """All numbers from low to high of each row, and their rows."""
@@ -192,7 +254,9 @@ def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def repeats(
+    df: DataFrame, doc_id: str = "doc_id", text: str = "text", share: float = SHARE
+) -> DataFrame:
     """doc_id, text, and what of it repeats: ``covers`` (packed places of anchors) and
     ``windows`` (starts), both null if there are none."""
     ship_package(df.sparkSession)
@@ -201,16 +265,23 @@ def repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
     )
     known = docs.where("doc IS NOT NULL")
     settled = F.col("place").bitwiseAND(1) == 1
-    anchors = known.mapInArrow(_anchor_rows, ANCHOR_SCHEMA).repartition("rank")
+    rows = known.mapInArrow(_anchor_rows(frequent_ranks(known, share)), ANCHOR_SCHEMA)
+    anchors = rows.repartition("rank")
     group = Window.partitionBy("rank")
     shape = F.col("place").bitwiseAND((1 << 15) - 2)
     equal = Window.partitionBy("rank", "cover", "shape").orderBy("doc", "place")
     later = settled | (F.col("n") > 1)
+    several = (F.col("place") >= _SPLIT) | (F.col("covers") > 1)
     ranked = (
         anchors.withColumn("shape", shape)
         .withColumn("n", F.rank().over(equal))
         .withColumn("covers", F.count(F.when(F.col("n") == 1, 1)).over(group))
-        .select("doc", "place", later.alias("later"), (~later & (F.col("covers") > 1)).alias("open"))
+        .select(
+            "doc",
+            F.col("place").bitwiseAND(_SPLIT - 1).alias("place"),
+            later.alias("later"),
+            (~later & several).alias("open"),
+        )
         .where("later OR open")
     )
     ranked = written(ranked, "anchors")
