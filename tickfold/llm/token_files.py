@@ -31,7 +31,7 @@ ROWS_SCHEMA = "doc_id long, n_tokens int, ids array<int>"
 READ_SCHEMA = "doc_id long, n_tokens long, ids_crc32 long, file string, row long"
 PIECES_KEPT = 450_000  # of each generation; a few hundred bytes each
 PIECES_AT_ONCE = 1000
-TEXT_PART = 1 << 23  # characters encoded at a time
+TEXT_PART = 1 << 22  # characters encoded at a time
 
 
 class Encoder:
@@ -78,19 +78,21 @@ class Encoder:
             split.offsets[0].as_py(), split.offsets[-1].as_py() - split.offsets[0].as_py()
         ).dictionary_encode()
         ids = self.pieces(coded.dictionary.to_pylist())
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        # Places fit 32 bits, as those of the list that is returned do.
+        sizes = np.fromiter(map(len, ids), np.int32, len(ids)) // 4
         flat = np.frombuffer(b"".join(ids), "<i4")
-        starts = np.cumsum(sizes) - sizes
-        which = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        starts = np.cumsum(sizes, dtype=np.int32) - sizes
+        which = coded.indices.to_numpy(zero_copy_only=False)
         # Tokens before each piece, and before each text with the end ids of those before it.
-        before = np.concatenate([[0], np.cumsum(sizes[which])]) if len(which) else np.zeros(1, int)
+        before = np.zeros(len(which) + 1, np.int32)
+        np.cumsum(sizes[which], out=before[1:])
         edges = split.offsets.to_numpy() - split.offsets[0].as_py()
         n = len(texts)
-        offsets = before[edges] + np.arange(n + 1)
+        offsets = before[edges] + np.arange(n + 1, dtype=np.int32)
         out = np.full(int(offsets[-1]), end_id, np.int32)
         # A token's place in ``flat``: its own place, moved by where its piece was coded.
         source = np.repeat(starts[which] - before[:-1], sizes[which])
-        source += np.arange(int(before[-1]))
+        source += np.arange(int(before[-1]), dtype=np.int32)
         keep = np.ones(len(out), bool)
         keep[offsets[1:] - 1] = False
         out[keep] = flat[source]
