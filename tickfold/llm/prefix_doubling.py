@@ -294,6 +294,8 @@ def repeats(
         .groupBy("doc")
         .agg(F.collect_list(F.shiftright("place", 1).cast("int")).alias("windows"))
     )
+    # Written, so that the rows of all windows are gone before the texts are joined again.
+    later_windows = written(later_windows, "windows")
     covers = (
         ranked.where("later").groupBy("doc").agg(F.collect_list("place").alias("covers"))
     )
