@@ -251,3 +251,30 @@ def test_position_of_the_log_is_not_the_newest_date(spark, sink):
     assert sink.high_water_ms(spark) <= first.position
     assert logged_plan.release_held(spark, sink, 0) == sink.latest(spark)
     assert sink.records(spark).where(F.col("date").isNull()).count() == 0
+
+
+def test_rounds_grow_while_a_backlog_lasts(spark, sink, tmp_path, monkeypatch):
+    """Gaps, a repeated key and rows that are not due, which grown rounds leave to steady ones."""
+    monkeypatch.setattr(logged_plan, "STEADY_ROUNDS", 2)
+    rows = random_rows(11, 9_050, 0.4)
+    for i, r in enumerate(rows):  # after a third a gap, and a stretch that is ten times as dense
+        far = 0 if i < 3_000 else 10**9
+        r["row_key"] = str(T0 + far + i * (100 if i < 6_000 else 1_000))
+    wide = wide_frame(spark, rows)
+    report = run_incremental(spark, wide, sink, CELLS, pages_per_round=5, max_batches=10**6)
+    assert (report.batches, report.status) == (91, "not enough data")
+    assert report.rounds < 13  # 19 rounds of five pages
+    assert report.position == sink.latest(spark).state["position"]
+    assert sink_means(sink.records(spark)) == loop(rows)
+
+    capped = LoggedSink(str(tmp_path / "capped"))
+    report = run_incremental(spark, wide, capped, CELLS, pages_per_round=5, max_batches=47)
+    assert (report.batches, report.position) == (47, int(rows[4_699]["row_key"]))
+    held = LoggedSink(str(tmp_path / "held"))
+    now = int(rows[7_000]["row_key"])
+    run_incremental(spark, wide, held, CELLS, pages_per_round=1, max_batches=10**6, clock=lambda: now / 1000)
+    assert sorted(r["page_key"] for r in held.read(spark, "held").select("page_key").distinct().collect()) == [
+        int(rows[7_099]["row_key"])
+    ]
+    run_incremental(spark, wide, held, CELLS, pages_per_round=5, max_batches=10**6)
+    assert sink_means(held.records(spark)) == loop(rows)

@@ -63,7 +63,8 @@ def run_incremental(
     Into a ``LoggedSink`` each round is one commit of records, rejects, bad cells and the read
     position, so a run that dies leaves nothing behind and a repeated one adds nothing. There a
     page is read when it is there, and its run groups leave one by one as they fall due: what is
-    not due is stored with the sink, and no further page is read before it has left.
+    not due is stored with the sink, and no further page is read before it has left. While a
+    backlog lasts that is due, rounds grow beyond ``pages_per_round``, never beyond ``max_batches``.
     """
     if isinstance(sink, LoggedSink):
         return run_logged(

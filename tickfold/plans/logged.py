@@ -4,6 +4,10 @@ A round reads the next pages between two keys, tags every outcome in one pass (r
 that can't be written, means whose date has not come, bad cells), stages them as one write split
 by kind, and commits them together with the read position. A round sees one list of files: the
 source frame is made once for it.
+
+A long backlog is read in rounds that grow: after ``STEADY_ROUNDS`` each takes twice the pages of the
+one before, so their number grows with the logarithm of the backlog up to ``GROWN_TICKS``. The pages
+of such a round are numbered like those of a backfill, by counts, and no list of them is made.
 """
 
 from __future__ import annotations
@@ -15,12 +19,16 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
-from tickfold.functions import parse_int, timestamp_of
+from tickfold.functions import key_millis, parse_int, timestamp_of
 from tickfold.operators import known_pages, mark_due, mark_readings, unpivot_map, unpivot_static
-from tickfold.plans.backfill import means_of_pages, source_rows
+from tickfold.operators.pages import hour_table, part_table
+from tickfold.plans.backfill import means_of_pages, paged_rows, source_rows
 from tickfold.schema import MAX_BATCHES, MIN_PAGE_ROWS, PAGE_SIZE, RUN_LENGTH
 from tickfold.sources.commits import LoggedSink, Snapshot
-from tickfold.sources.wide import PageFinder, key_after, key_until
+from tickfold.sources.wide import PageFinder, key_after, key_range, key_until
+
+STEADY_ROUNDS = 4  # rounds of the size asked for, before they grow
+GROWN_TICKS = 10_000_000  # of a round, at most, unless more are asked for
 
 
 @dataclass(frozen=True)
@@ -96,6 +104,23 @@ def release_held(spark: SparkSession, sink: LoggedSink, now_ms: int) -> Snapshot
     return sink.publish(spark, base, added, {"held": counts["held"]}, replaced=("held",))
 
 
+def full_pages(
+    df: DataFrame, after: int, high: int, n_pages: int, page_size: int, key_order: str
+) -> tuple[int, int] | None:
+    """The last key and the number of full pages, ``n_pages`` at most, that begin after a key and
+    end before another, from counts of keys. The last few pages there are left for later. ``None`` if
+    there are too few, or if keys repeat: those are counted page by page."""
+    near = key_until(key_after(df, after, 0, key_order=key_order), high, key_order=key_order)
+    keys = near.select(key_millis("row_key").alias("ms"))
+    parts = part_table(*hour_table(keys, page_size=page_size))
+    begins = parts.selectExpr("lo", "part * span AS ticks").where(F.col("ticks") <= n_pages * page_size)
+    end = begins.agg(F.max("lo").alias("lo"), F.max("ticks").alias("ticks")).first()
+    if not end["ticks"]:
+        return None
+    done = key_range(key_until(near, end["lo"] - 1, key_order=key_order), after, key_order=key_order)
+    return (done.last, end["ticks"] // page_size) if done.rows == end["ticks"] else None
+
+
 def run_logged(
     spark: SparkSession,
     source: DataFrame | Callable[[], DataFrame],
@@ -119,6 +144,19 @@ def run_logged(
         raise ValueError("more than one page in a round needs pages of a whole number of runs")
     finder = PageFinder(page_size, key_order, growing=callable(source))
     batches = rounds = rejected = 0
+    pace = 0.0  # distance of keys in a page of the last round
+
+    def grown_round(df: DataFrame, now_ms: int) -> tuple[int, int] | None:
+        """Last key and number of pages of a round that is larger than asked for."""
+        most = max(pages_per_round, GROWN_TICKS // page_size)
+        n_pages = min(pages_per_round << min(rounds - STEADY_ROUNDS + 1, 40), most, max_batches - batches)
+        known = finder.known
+        if not whole or not pace or n_pages <= pages_per_round or known is None or position >= known.last:
+            return None
+        if key_order == "string" and len(str(known.first)) != len(str(known.last)):
+            return None  # text order is not that of numbers
+        high = min(position + round(pace * n_pages), known.last, now_ms)
+        return full_pages(df, position, high, n_pages, page_size, key_order) if high > position else None
 
     def report(status: str) -> RunReport:
         return RunReport(batches, rounds, status, position, rejected)
@@ -134,16 +172,24 @@ def run_logged(
         if stop():
             return report("stopped")
         df = source() if callable(source) else source
-        found = finder.next(df, position, min(pages_per_round, max_batches - batches))
-        pages = [page for page in found if page[1] >= min_rows]
-        if not pages:
-            return report("not enough data")
-        last_key, last_size = pages[-1]
+        grown = grown_round(df, now_ms) if rounds >= STEADY_ROUNDS else None
+        if grown:
+            (last_key, n_done), last_size = grown, page_size
+        else:
+            found = finder.next(df, position, min(pages_per_round, max_batches - batches))
+            pages = [page for page in found if page[1] >= min_rows]
+            if not pages:
+                return report("not enough data")
+            (last_key, last_size), n_done = pages[-1], len(pages)
         rows = key_until(key_after(df, position, 0, key_order=key_order), last_key, key_order=key_order)
-        paged = known_pages(source_rows(rows, cells), pages, "ms")
+        if grown:
+            paged = paged_rows(source_rows(rows, cells), page_size, min_rows)
+            page_key = F.lit(None)  # none of them is held
+        else:
+            paged = known_pages(source_rows(rows, cells), pages, "ms")
+            page_key = F.get(F.array(*[F.lit(k) for k, _ in pages]), F.col("part").cast("int"))
         means = means_of_pages(paged, cells, run_length, **mean_options)
         due = means.withColumn("due", F.lit(True)) if last_key <= now_ms else mark_due(means, now_ms)
-        page_key = F.get(F.array(*[F.lit(k) for k, _ in pages]), F.col("part").cast("int"))
         outcomes = _outcomes(due.withColumn("page_key", page_key.cast("long")))
         if mean_options.get("on_error") == "reject":
             bad = bad_cells(rows, cells).withColumn("kind", F.lit("bad_cells"))
@@ -159,6 +205,7 @@ def run_logged(
             "bad_cells": base.state.get("bad_cells", 0) + counts["bad_cells"],
         }
         sink.publish(spark, base, added, state)
+        pace = 0.0 if position is None else (last_key - position) / n_done
         rejected += counts["rejects"]
-        batches += len(pages)
+        batches += n_done
         rounds += 1
