@@ -155,25 +155,28 @@ def pack_tokens(
     longest = lengths[-1]
     all_ids = F.coalesce(F.col(ids), F.array().cast("array<int>"))
     last = F.greatest(F.floor((F.size("ids") - 1) / longest), F.lit(0)).cast("int")
-    cut = F.transform(
-        F.sequence(F.lit(0), last), lambda i: F.slice("ids", i * longest + 1, longest)
+    # A list that fits is passed on as it is; slicing boxes every id.
+    cut = F.when(F.size("ids") <= longest, F.array("ids")).otherwise(
+        F.transform(F.sequence(F.lit(0), last), lambda i: F.slice("ids", i * longest + 1, longest))
     )
     stored = written(
         encoded.select(F.col(doc_id).cast("long").alias("doc_id"), all_ids.alias("ids"))
         .select("doc_id", F.posexplode(cut).alias("piece", "ids"))
-        .withColumn("copy", F.monotonically_increasing_id()),
+        .withColumns({"n_tokens": F.size("ids"), "copy": F.monotonically_increasing_id()}),
         "pieces",
     )
     pieces = stored.select(
         "doc_id",
         "piece",
         (F.col("piece").cast("long") * longest).alias("first_token"),
-        F.size("ids").alias("n_tokens"),
+        "n_tokens",  # stored, so that the ids are not read for it
         "copy",
         F.xxhash64("copy").alias("spread"),
     )
     placed = _placed(pieces, stored.count(), lengths)
-    return placed.join(stored.select("copy", "ids"), "copy").drop("copy")
+    # The rows with ids stream past a table of the others, so they are not sorted.
+    ids_of = stored.select("copy", "ids")
+    return placed.hint("shuffle_hash").join(ids_of, "copy").drop("copy")
 
 
 def sequences(pieces: DataFrame) -> DataFrame:
