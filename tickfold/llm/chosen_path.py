@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tickfold.llm.common import groups, written
-from tickfold.llm.components import components
+from tickfold.llm.components import components, stars_of
 from tickfold.llm.shingles import mix, parts, shingle_sets
 from tickfold.session import ship_package
 
@@ -331,7 +331,7 @@ def _compare(percent: int) -> Callable:
             first = int((side == 0).sum())
             found = _linked(sets, rows["id"].to_numpy(), percent, first)
             if found:
-                a, b = np.array(found, np.int64).T
+                a, b = stars_of(*np.array(found, np.int64).T)
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
         for _, piece, fresh in groups(batches, "task"):
@@ -372,7 +372,8 @@ def _in_tasks(rows: DataFrame, percent: int) -> DataFrame:
 
 
 def exact_edges(members: DataFrame, percent: int) -> DataFrame:
-    """Links inside each cluster on full sets: id, cluster, m (members), shingles."""
+    """Links inside each cluster on full sets: id, cluster, m (members), shingles. Clusters that
+    fit in a task come as stars, and so do large ones that are tied together at once."""
     none = F.lit(0)
     fits = members.where(F.col("m") <= TASK)
     small = _in_tasks(fits.withColumns({"task": F.col("cluster"), "side": none}), percent)
@@ -410,10 +411,14 @@ def exact_edges(members: DataFrame, percent: int) -> DataFrame:
     sizes = labelled.groupBy("cluster", "component").count()
     main = sizes.groupBy("cluster").agg(F.max_by("component", "count").alias("main"))
     outside = labelled.join(main, "cluster").where("component <> main")
+    outside = written(outside.select("cluster", "id"), "outside")
+    stars = roots.where("id <> component").select(F.col("id").alias("a"), F.col("component").alias("b"))
+    if not outside.take(1):
+        return small.unionAll(stars)
     counts = outside.groupBy("cluster").agg(
         F.ceil(F.count("*") / BLOCK).cast("int").alias("rest_blocks")
     )
-    rest = outside.join(counts, "cluster").withColumn(
+    rest = large.join(outside, ["cluster", "id"]).join(counts, "cluster").withColumn(
         "rest_block", F.pmod(F.xxhash64("id", F.lit(1)), F.col("rest_blocks")).cast("int")
     )
     rest = rest.withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1)))
@@ -427,7 +432,7 @@ def exact_edges(members: DataFrame, percent: int) -> DataFrame:
         ),
         percent,
     )
-    return small.unionAll(tied).unionAll(across)
+    return small.unionAll(stars).unionAll(across)
 
 
 def near_duplicates(
